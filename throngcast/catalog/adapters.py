@@ -147,6 +147,24 @@ def delay_messages(ev: DataFrame) -> DataFrame:
     return _messages(typed, "event_id % 50 = 0", 40)
 
 
+def closing_messages(ev: DataFrame) -> dict[str, DataFrame]:
+    """One message per live topic two days after the last event, of trips nothing else mentions."""
+    last = ev.agg(F.max("ts").alias("ts")).selectExpr("timestampadd(DAY, 2, ts) AS timestamp")
+
+    def message(trip: str, extra: str) -> DataFrame:
+        return last.selectExpr(
+            f"CAST(to_json(named_struct('trip', named_struct('trip_id', '{trip}'), {extra}, "
+            "'timestamp', CAST(unix_seconds(timestamp) AS STRING))) AS BINARY) AS value",
+            "timestamp",
+        )
+
+    stop = "named_struct('stop_id', '0N', 'arrival', named_struct('delay', 0))"
+    return {
+        "vehicles": message("end-of-vehicles", "'stop_id', '0N'"),
+        "delays": message("end-of-delays", f"'stop_time_update', array({stop})"),
+    }
+
+
 def trip_messages(lineitem: DataFrame) -> DataFrame:
     key = "lpad(CAST(l_orderkey DIV 10 AS STRING), 8, '0')"
 

@@ -711,53 +711,38 @@ def backtest_thresholds(spark, d):
 
 
 def _staged(spark, d) -> tuple[str, str]:
-    """Run the two staging streams over the event table and return their folders."""
-    folders = []
-    starters = {
-        "vehicles": lambda out, mark: jobs.stage_vehicles(
-            A.vehicle_messages(A.events_stream(spark, d)), _bridge(spark, d), out, mark, trigger=ONCE_THROUGH
-        ),
-        "delays": lambda out, mark: jobs.stage_trip_delays(
-            A.delay_messages(A.events_stream(spark, d)),
-            None,
-            None,
-            out,
-            mark,
-            trigger=ONCE_THROUGH,
-        ),
-    }
-    running = []
-    for name, start in starters.items():
-        out = scratch_path(spark, name)
-        running.append(start(out, f"{out}-checkpoint"))
+    """Run the two staging streams over the event table and return their folders.
+
+    The feed ends with one far-future message per topic, so that every real window
+    passes the watermark.
+    """
+    closing = A.closing_messages(A.events(spark, d))
+    running, folders = [], []
+    for name, messages in (("vehicles", A.vehicle_messages), ("delays", A.delay_messages)):
+        tail, out = scratch_path(spark, f"end-of-{name}"), scratch_path(spark, name)
+        writers.write_parquet(closing[name], tail)
+        feed = messages(A.events_stream(spark, d)).unionByName(
+            readers.file_stream(spark, tail, closing[name].schema)
+        )
+        if name == "vehicles":
+            start = jobs.stage_vehicles(feed, _bridge(spark, d), out, f"{out}-checkpoint", trigger=ONCE_THROUGH)
+        else:
+            start = jobs.stage_trip_delays(feed, None, None, out, f"{out}-checkpoint", trigger=ONCE_THROUGH)
+        running.append(start)
         folders.append(out)
     for stream in running:
         stream.awaitTermination()
     return folders[0], folders[1]
 
 
-def _close_streams(spark, vehicles: str, delays: str) -> None:
-    """Stage one far-future row on both sides, so every real window passes the watermark."""
-    for path, key in ((vehicles, "end-of-vehicles"), (delays, "end-of-delays")):
-        staged = spark.read.parquet(path)
-        last = staged.orderBy(F.desc("event_timestamp")).limit(1)
-        filled = {"trip_id": F.lit(key), "event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 2 DAYS")}
-        if "station_complex_id" in staged.columns:
-            filled["station_complex_id"] = F.lit("none")
-        writers.write_parquet(last.withColumns(filled), path, mode="append", partition_by=["event_date"])
-
-
 def _signal_stream(spark, d) -> str:
     """Run the whole speed path as streams and return the folder of the signal."""
     vehicles, delays = _staged(spark, d)
     out = scratch_path(spark, "signal")
     with state_partitions(spark):
-        for last in (False, True):
-            if last:
-                _close_streams(spark, vehicles, delays)
-            jobs.stage_delay_signal(
-                spark, vehicles, delays, out, f"{out}-checkpoint", trigger=ONCE_THROUGH
-            ).awaitTermination()
+        jobs.stage_delay_signal(
+            spark, vehicles, delays, out, f"{out}-checkpoint", trigger=ONCE_THROUGH
+        ).awaitTermination()
     return out
 
 
