@@ -62,8 +62,24 @@ def query(build: Query) -> Query:
 # --- shared inputs -----------------------------------------------------------
 
 
+def _events(spark, d):
+    """Events for plans that parse text, one split per core at least."""
+    return readers.spread_small(A.events(spark, d), "event_id")
+
+
+def _items(spark, d):
+    return readers.spread_small(A.table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+def _stored(spark, df, name):
+    """The frame written to a shared table, for plans that read it several times."""
+    path = scratch_path(spark, name)
+    writers.write_parquet(df, path)
+    return readers.read_table(spark, path, df.schema)
+
+
 def _ridership(spark, d):
-    return ridership.clean_ridership(A.raw_ridership(A.events(spark, d)))
+    return ridership.clean_ridership(A.raw_ridership(_events(spark, d)))
 
 
 def _weather(spark, d):
@@ -78,7 +94,7 @@ def _joined(spark, d):
 
 def _newest_day(spark, d):
     """Newest ridership date, taken before the aggregation that leaves it unchanged."""
-    valid = ridership.valid_ridership(A.raw_ridership(A.events(spark, d)))
+    valid = ridership.valid_ridership(A.raw_ridership(_events(spark, d)))
     return valid.agg(F.to_date(F.max("transit_timestamp")).alias("date"))
 
 
@@ -98,11 +114,11 @@ def _cascade(spark, d):
 
 
 def _schedule(spark, d):
-    return schedule.schedule_full(A.stop_times(A.table(spark, d, "lineitem")))
+    return schedule.schedule_full(A.stop_times(_items(spark, d)))
 
 
 def _vehicles(spark, d):
-    parsed = live.parse_vehicles(A.vehicle_messages(A.events(spark, d)))
+    parsed = live.parse_vehicles(A.vehicle_messages(_events(spark, d)))
     return live.enrich_vehicles(parsed, _bridge(spark, d))
 
 
@@ -115,7 +131,7 @@ def _delays_of(messages, spark, d):
 
 def _announced(spark, d):
     """Delays of the live feed; every message announces its delay, so no schedule is looked up."""
-    return live.trip_delays(live.parse_trip_updates(A.delay_messages(A.events(spark, d))))
+    return live.trip_delays(live.parse_trip_updates(A.delay_messages(_events(spark, d))))
 
 
 def _signal(spark, d):
@@ -169,7 +185,7 @@ def incremental_extract(spark, d):
 
 @query
 def route_messages(spark, d):
-    sent = ingest.fan_out(ingest.parse_frames(A.feed_frames(A.events(spark, d))))
+    sent = ingest.fan_out(ingest.parse_frames(A.feed_frames(_events(spark, d))))
     return sent.select(
         "key",
         "topic",
@@ -182,7 +198,7 @@ def route_messages(spark, d):
 
 @query
 def dead_letters(spark, d):
-    rejected = ingest.dead_letters(ingest.parse_frames(A.feed_frames(A.events(spark, d))))
+    rejected = ingest.dead_letters(ingest.parse_frames(A.feed_frames(_events(spark, d))))
     return rejected.select(
         "key",
         "topic",
@@ -315,7 +331,7 @@ def calendar_parts(spark, d):
 
 @query
 def trip_prefix(spark, d):
-    trips = A.stop_times(A.table(spark, d, "lineitem")).select(
+    trips = A.stop_times(_items(spark, d)).select(
         text.realtime_trip_id(F.col("trip_id")).alias("trip_id")
     ).distinct()
     return trips.select(
@@ -328,7 +344,7 @@ def trip_prefix(spark, d):
 
 @query
 def classify_observation(spark, d):
-    return ingest.classify_observations(A.observations(A.events(spark, d)))
+    return ingest.classify_observations(A.observations(_events(spark, d)))
 
 
 @query
@@ -499,12 +515,12 @@ def enrich_vehicles(spark, d):
 
 @query
 def parse_trip_updates(spark, d):
-    return live.parse_trip_updates(A.trip_messages(A.table(spark, d, "lineitem")))
+    return live.parse_trip_updates(A.trip_messages(_items(spark, d)))
 
 
 @query
 def trip_delays(spark, d):
-    return _delays_of(A.trip_messages(A.table(spark, d, "lineitem")), spark, d)
+    return _delays_of(A.trip_messages(_items(spark, d)), spark, d)
 
 
 @query
@@ -538,7 +554,7 @@ def score_congestion(spark, d):
 @query
 def score_with_current_condition(spark, d):
     cells, maxima = _baseline(spark, d)
-    conditions = ingest.classify_observations(A.observations(A.events(spark, d)))
+    conditions = ingest.classify_observations(A.observations(_events(spark, d)))
     bucket = scores.current_bucket(conditions, as_of("2024-01-31 00:00:00")).select("weather_bucket")
     return scores.score(
         _signal(spark, d),
@@ -553,7 +569,7 @@ def score_with_current_condition(spark, d):
 
 @query
 def current_bucket(spark, d):
-    conditions = ingest.classify_observations(A.observations(A.events(spark, d)))
+    conditions = ingest.classify_observations(A.observations(_events(spark, d)))
     fresh = scores.current_bucket(conditions, as_of("2024-01-31 00:00:00")).select(
         F.lit("fresh").alias("state"), "scope", "weather_bucket"
     )
@@ -673,12 +689,13 @@ def calibrate_service(spark, d):
 
 @query
 def audit_vehicles(spark, d):
-    return quality.audit_vehicles(_vehicles(spark, d))
+    return quality.audit_vehicles(_stored(spark, _vehicles(spark, d), "vehicles"))
 
 
 @query
 def audit_delays(spark, d):
-    return quality.audit_delays(_delays_of(A.trip_messages(A.table(spark, d, "lineitem")), spark, d))
+    staged = _stored(spark, _delays_of(A.trip_messages(_items(spark, d)), spark, d), "delays")
+    return quality.audit_delays(staged)
 
 
 @query

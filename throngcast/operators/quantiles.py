@@ -13,21 +13,25 @@ LOW_BITS = 16
 def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
     """One row with an exact, linearly interpolated quantile per name.
 
-    The column is a 32-bit integer. Values are counted by their high half first,
-    which locates the half-word each wanted rank falls in, and only those are then
-    counted value by value. Every step holds at most 65,536 counters per quantile,
-    however many rows or distinct values there are.
+    The column is a 32-bit integer. Rows are counted per value in one distributed
+    pass. The counts are then summed by the high half of the value, which locates the
+    half-word each wanted rank falls in, and only that half-word is ranked value by
+    value. No ranking step holds more than 65,536 counters per quantile, however many
+    rows or distinct values there are.
     """
     value = F.col(column).cast("int")
-    coded = df.where(value.isNotNull()).select(
-        value.alias("_value"), F.shiftright(value, LOW_BITS).alias("_high")
+    coded = (
+        df.where(value.isNotNull())
+        .groupBy(value.alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_high", F.shiftright("_value", LOW_BITS))
     )
 
     running = Window.orderBy("_high").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.orderBy("_high").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     high = (
         coded.groupBy("_high")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_n").alias("_n"))
         .withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(everything)})
     )
     wanted = [
@@ -50,12 +54,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, floa
     # At most two rows per quantile, so broadcasting them is safe at any scale.
     halves = F.broadcast(targets.select("_high").distinct())
     inside = Window.partitionBy("_high").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    low = (
-        coded.join(halves, "_high", "left_semi")
-        .groupBy("_high", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(inside))
-    )
+    low = coded.join(halves, "_high", "left_semi").withColumn("_upto", F.sum("_n").over(inside))
     found = low.join(F.broadcast(targets), "_high").where(
         (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
     )

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from throngcast.functions.text import clock_to_seconds, realtime_trip_id, schedule_prefix
-from throngcast.operators.dedupe import first_by_key
 
 
 def schedule_full(stop_times: DataFrame) -> DataFrame:
@@ -31,4 +30,4 @@ def schedule_by_prefix(full: DataFrame) -> DataFrame:
 
 def unique_schedule(full: DataFrame) -> DataFrame:
     """One arrival per trip and stop, the earliest where service days differ."""
-    return first_by_key(full, ["trip_id_suffix", "stop_id"], ["sched_arr_secs"])
+    return full.groupBy("trip_id_suffix", "stop_id").agg(F.min("sched_arr_secs").alias("sched_arr_secs"))

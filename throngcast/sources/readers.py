@@ -26,6 +26,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores when a scan has fewer splits than there are cores.
+
+    Meant for scans feeding costly parsing: one small file is one split and would keep
+    the other cores idle. A scan with enough splits is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_keyed_store(spark: SparkSession, table: str, *, fmt: str = "parquet", **options: str) -> DataFrame:
     """A keyed table through its connector, or the Parquet table standing in for it."""
     if fmt == "parquet":

@@ -13,7 +13,13 @@ BATCH_COLUMN = "batch_id"
 
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Parquet sink; overwriting a partitioned table replaces only touched partitions."""
+    """Parquet sink; overwriting a partitioned table replaces only touched partitions.
+
+    A partitioned write is rebalanced first: tasks then hold few partition values each,
+    which keeps the file count low, and adaptive execution splits large values.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
