@@ -7,7 +7,7 @@ order may differ in the last bit.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import cache, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,13 +62,20 @@ def query(build: Query) -> Query:
 # --- shared inputs -----------------------------------------------------------
 
 
+@cache
+def _is_small(spark, d, name) -> bool:
+    return readers.has_few_splits(A.table(spark, d, name))
+
+
 def _events(spark, d):
     """Events for plans that parse text, one split per core at least."""
-    return readers.spread_small(A.events(spark, d), "event_id")
+    df = A.events(spark, d)
+    return readers.spread(df, "event_id") if _is_small(spark, d, "events") else df
 
 
 def _items(spark, d):
-    return readers.spread_small(A.table(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+    df = A.table(spark, d, "lineitem")
+    return readers.spread(df, "l_orderkey", "l_linenumber") if _is_small(spark, d, "lineitem") else df
 
 
 def _stored(spark, df, name):
@@ -94,8 +101,8 @@ def _joined(spark, d):
 
 def _newest_day(spark, d):
     """Newest ridership date, taken before the aggregation that leaves it unchanged."""
-    valid = ridership.valid_ridership(A.raw_ridership(_events(spark, d)))
-    return valid.agg(F.to_date(F.max("transit_timestamp")).alias("date"))
+    typed = ridership.typed_ridership(A.raw_ridership(_events(spark, d)))
+    return typed.agg(F.to_date(F.max("transit_timestamp")).alias("date"))
 
 
 def _baseline(spark, d):

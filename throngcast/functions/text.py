@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Patterns the results depend on.
 DIRECTION_SUFFIX = r"[NS]$"
 TRIP_DIRECTION_PREFIX = r"^(.+\.\.[NSEW])"
-RUN_ID_TAIL = r"^(.*?\.\..).*$"
-FEED_PREFIX = r"^[^_]*_"
+SHAPE_SEPARATOR = ".."
+FEED_SEPARATOR = "_"
 
 
 def strip_blank(value: Column) -> Column:
@@ -38,13 +38,15 @@ def trip_prefix(trip_id: Column) -> Column:
 
 
 def realtime_trip_id(static_trip_id: Column) -> Column:
-    """Part of a static trip id that the live feed publishes."""
-    return F.regexp_replace(static_trip_id, FEED_PREFIX, "")
+    """Part of a static trip id after its first separator, which the live feed publishes."""
+    return F.substr(static_trip_id, F.locate(FEED_SEPARATOR, static_trip_id) + 1)
 
 
 def schedule_prefix(trip_id: Column) -> Column:
-    """Trip id without its run id; ids of another shape are returned unchanged."""
-    return F.regexp_replace(trip_id, RUN_ID_TAIL, "$1")
+    """Trip id up to the letter after the separator; ids of another shape are returned unchanged."""
+    at = F.locate(SHAPE_SEPARATOR, trip_id)
+    end = at + len(SHAPE_SEPARATOR)
+    return F.when((at > 0) & (F.length(trip_id) >= end), F.substring(trip_id, F.lit(1), end)).otherwise(trip_id)
 
 
 def clock_to_seconds(clock: Column) -> Column:

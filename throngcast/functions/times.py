@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,9 +22,24 @@ STALE_AFTER_SECS = 90
 NO_AGE = "—"
 
 
+def _can_have_layout(text: Column, layout: str) -> Column:
+    """Whether a text has every literal of a layout.
+
+    A parser that fails on a row raises and catches an exception, which costs far more
+    than looking for a few characters.
+    """
+    literals = set(re.sub(r"'([^']*)'|[A-Za-z]", lambda token: token.group(1) or "", layout))
+    present = [F.contains(text, F.lit(literal)) for literal in sorted(literals)]
+    if layout.endswith("a"):
+        present.append(text.rlike(r"(?i)[ap]m"))
+    return reduce(Column.__and__, present)
+
+
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """First layout that parses, then Spark's own reading; null when none does."""
-    attempts = [F.try_to_timestamp(text, F.lit(layout)) for layout in formats]
+    attempts = [
+        F.when(_can_have_layout(text, layout), F.try_to_timestamp(text, F.lit(layout))) for layout in formats
+    ]
     return F.coalesce(*attempts, F.try_to_timestamp(text))
 
 

@@ -24,7 +24,8 @@ def parse_frames(raw: DataFrame) -> DataFrame:
     )
     empty = F.coalesce(F.octet_length("value"), F.lit(0)) == 0
     broken = F.col("frame").isNull() | F.col(f"frame.{CORRUPT}").isNotNull()
-    return raw.withColumn("frame", parsed).withColumn(
+    # Generated, not projected, so that no later filter parses the payload again.
+    return raw.select("*", F.explode(F.array(parsed)).alias("frame")).withColumn(
         "error", F.when(empty, F.lit(FETCH_FAILED)).when(broken, F.lit(PARSE_ERROR))
     )
 
@@ -84,7 +85,8 @@ def classify_observations(messages: DataFrame) -> DataFrame:
 
     A report that cannot be parsed yields no row, so the last good condition stands.
     """
-    parsed = messages.withColumn("o", F.from_json(F.col("value").cast("string"), OBSERVATION_MESSAGE))
+    report = F.from_json(F.col("value").cast("string"), OBSERVATION_MESSAGE)
+    parsed = messages.select("scope", "timestamp", F.explode(F.array(report)).alias("o"))
     fields = observation_columns(
         F.col("o.textDescription"), F.col("o.precipitationLastHour.value"), F.col("o.temperature.value")
     )

@@ -15,22 +15,27 @@ from throngcast.schemas import TRIP_DELAYS, TRIP_UPDATE_MESSAGE, VEHICLE_MESSAGE
 
 
 def _parsed(messages: DataFrame, schema) -> DataFrame:
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("m"), F.col("timestamp").alias("kafka_ts")
-    )
+    """Message fields as columns next to the arrival time; malformed text gives nulls.
+
+    The parsed struct is generated rather than projected. Catalyst moves filters, also
+    those it infers from later joins, below a projection and would parse once more for
+    each of them; below a generator it does not.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(F.col("timestamp").alias("kafka_ts"), F.inline(F.array(parsed)))
 
 
 def parse_vehicles(messages: DataFrame) -> DataFrame:
     """Flat vehicle positions; a malformed message leaves a row of nulls with its arrival time."""
-    moment = event_time(F.col("m.timestamp").try_cast("bigint"), F.col("kafka_ts"))
+    moment = event_time(F.col("timestamp").try_cast("bigint"), F.col("kafka_ts"))
     return _parsed(messages, VEHICLE_MESSAGE).select(
-        F.col("m.trip.trip_id").alias("trip_id"),
-        F.coalesce("m.route_id", "m.trip.route_id").alias("route_id"),
-        F.col("m.vehicle.id").alias("vehicle_id"),
-        F.col("m.stop_id").alias("stop_id"),
-        stop_base_id(F.col("m.stop_id")).alias("stop_id_base"),
-        F.col("m.current_status").alias("current_status"),
-        F.col("m.current_stop_sequence").alias("current_stop_sequence"),
+        F.col("trip.trip_id").alias("trip_id"),
+        F.coalesce("route_id", "trip.route_id").alias("route_id"),
+        F.col("vehicle.id").alias("vehicle_id"),
+        "stop_id",
+        stop_base_id(F.col("stop_id")).alias("stop_id_base"),
+        "current_status",
+        "current_stop_sequence",
         moment.alias("event_timestamp"),
         F.to_date(moment).alias("event_date"),
     )
@@ -62,12 +67,12 @@ def enrich_vehicles(parsed: DataFrame, bridge: DataFrame) -> DataFrame:
 def parse_trip_updates(messages: DataFrame) -> DataFrame:
     """One row per announced stop; an update without stops keeps one row with a null stop."""
     stops = _parsed(messages, TRIP_UPDATE_MESSAGE).select(
-        F.col("m.trip.trip_id").alias("trip_id"),
-        F.coalesce("m.route_id", "m.trip.route_id").alias("route_id"),
-        F.col("m.trip.start_date").alias("start_date"),
-        F.col("m.timestamp").try_cast("bigint").alias("event_unix_ts"),
+        F.col("trip.trip_id").alias("trip_id"),
+        F.coalesce("route_id", "trip.route_id").alias("route_id"),
+        F.col("trip.start_date").alias("start_date"),
+        F.col("timestamp").try_cast("bigint").alias("event_unix_ts"),
         "kafka_ts",
-        F.explode_outer("m.stop_time_update").alias("stop"),
+        F.explode_outer("stop_time_update").alias("stop"),
     )
     return stops.select(
         "trip_id",

@@ -30,8 +30,8 @@ def with_calendar(df: DataFrame, timestamp: str, *, calendar_tz: str = "UTC") ->
     )
 
 
-def valid_ridership(raw: DataFrame, *, source_timezone: str = LOCAL_TIMEZONE) -> DataFrame:
-    """Typed rows of the kept mode with a station, a readable time and entries >= 0."""
+def typed_ridership(raw: DataFrame, *, source_timezone: str = LOCAL_TIMEZONE) -> DataFrame:
+    """Rows of the kept mode with a station and entries >= 0; an unreadable time is null."""
     if find_column(raw.columns, MODE_NAMES, required=False):
         raw = raw.where(F.lower(required_column(raw, *MODE_NAMES)) == KEPT_MODE)
     entries = F.replace(required_column(raw, *ENTRY_NAMES).cast("string"), F.lit(","), F.lit(""))
@@ -43,19 +43,22 @@ def valid_ridership(raw: DataFrame, *, source_timezone: str = LOCAL_TIMEZONE) ->
         ).alias("transit_timestamp"),
         entries.try_cast("double").alias("entries"),
     )
-    return typed.where(
-        F.col("station_complex_id").isNotNull() & F.col("transit_timestamp").isNotNull() & (F.col("entries") >= 0)
-    )
+    return typed.where(F.col("station_complex_id").isNotNull() & (F.col("entries") >= 0))
 
 
 def clean_ridership(
     raw: DataFrame, *, source_timezone: str = LOCAL_TIMEZONE, calendar_tz: str = "UTC"
 ) -> DataFrame:
-    """Entries per station and hour; fare and payment rows are summed."""
+    """Entries per station and hour; fare and payment rows are summed, unreadable times dropped.
+
+    The drop is stated on a count of the group. As a filter on the timestamp it would
+    move below the aggregation and parse every text twice.
+    """
     hourly = (
-        valid_ridership(raw, source_timezone=source_timezone)
+        typed_ridership(raw, source_timezone=source_timezone)
         .groupBy("station_complex_id", "station_complex_name", "transit_timestamp")
-        .agg(F.sum("entries").alias("entries"))
+        .agg(F.sum("entries").alias("entries"), F.count("transit_timestamp").alias("_timed"))
+        .where(F.col("_timed") > 0)
     )
     return with_calendar(hourly, "transit_timestamp", calendar_tz=calendar_tz).select(
         "station_complex_id",

@@ -26,14 +26,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores when a scan has fewer splits than there are cores.
+def has_few_splits(df: DataFrame) -> bool:
+    """Whether a scan has fewer splits than the session has cores."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
 
-    Meant for scans feeding costly parsing: one small file is one split and would keep
-    the other cores idle. A scan with enough splits is returned as it is.
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows over all cores.
+
+    Meant for scans with few splits that feed costly parsing: one small file is one
+    split and would keep the other cores idle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def read_keyed_store(spark: SparkSession, table: str, *, fmt: str = "parquet", **options: str) -> DataFrame:
