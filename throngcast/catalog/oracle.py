@@ -409,7 +409,7 @@ _SELECTS: dict[str, str] = {
     "bridge_unresolved": f"SELECT {BRIDGE_COLUMNS} FROM unresolved",
     "matched_keys": "SELECT gtfs_stop_id FROM matched",
     "bridge_tiered": f"SELECT {BRIDGE_COLUMNS} FROM tiers",
-    "bridge_summary_counts": """
+    "bridge_summary": """
         SELECT count(*) AS total_stops, count(*) FILTER (match_tier = 'TIER1_DIRECT') AS tier1_direct,
                count(*) FILTER (match_tier = 'TIER2_NAME') AS tier2_name, count(*) FILTER (match_tier = 'TIER3_GEO') AS tier3_geo,
                count(*) FILTER (match_tier = 'UNRESOLVED') AS unresolved,
@@ -417,7 +417,7 @@ _SELECTS: dict[str, str] = {
     "schedule_full": "SELECT trip_id_suffix, stop_id, sched_arr_secs FROM schedule",
     "schedule_prefix": "SELECT prefix, stop_id, sched_arr_secs FROM schedule_median",
     "dedupe_by_key": "SELECT trip_id_suffix, stop_id, sched_arr_secs FROM schedule_unique",
-    "first_document": """
+    "first_whole_row": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 6) AS l_quantity FROM (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) AS rn FROM lineitem)
         WHERE rn = 1""",
@@ -502,7 +502,7 @@ _SELECTS: dict[str, str] = {
         SELECT max(n) AS max_rows, trunc(median(n))::BIGINT AS median_rows, round(max(n) / trunc(median(n)), 2) AS skew_ratio
         FROM (SELECT count(*) AS n FROM scored GROUP BY station_complex_id)""",
     "top_stations": "SELECT l_partkey::VARCHAR AS station_complex_id, count(*) AS rows FROM lineitem GROUP BY 1 ORDER BY rows DESC, 1 LIMIT 20",
-    "profile_column_ranges": "SELECT * FROM ("
+    "profile_columns": "SELECT * FROM ("
     + " UNION ALL ".join(
         [
             _profile("c_custkey", "c_custkey", "c_custkey::DOUBLE").replace(

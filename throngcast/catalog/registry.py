@@ -46,8 +46,8 @@ def as_of(moment: str = AS_OF) -> Column:
     return F.lit(moment).cast("timestamp")
 
 
-def query(build: Query) -> Query:
-    """Register a function under its own name."""
+def query(build: Query, name: str | None = None) -> Query:
+    """Register a function under its own name or the given one."""
 
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def query(build: Query) -> Query:
         doubles = {name: F.round(F.col(name), 6) for name, dtype in df.dtypes if dtype == "double"}
         return df.withColumns(doubles) if doubles else df
 
-    QUERIES[build.__name__] = run
+    QUERIES[name or build.__name__] = run
     return build
 
 
@@ -485,9 +485,7 @@ def bridge_tiered(spark, d):
     return _cascade(spark, d).table()
 
 
-@query
-def bridge_summary_counts(spark, d):
-    return bridge_summary(_cascade(spark, d).table())
+query(lambda spark, d: bridge_summary(_cascade(spark, d).table()), "bridge_summary")
 
 
 @query
@@ -506,7 +504,7 @@ def dedupe_by_key(spark, d):
 
 
 @query
-def first_document(spark, d):
+def first_whole_row(spark, d):
     """Whole-row choice per key under a total order."""
     items = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     return first_by_key(items, ["l_orderkey", "l_linenumber"], ["l_partkey"])
@@ -716,9 +714,7 @@ def top_stations(spark, d):
     return quality.top_stations(by_part)
 
 
-@query
-def profile_column_ranges(spark, d):
-    return profile_columns(A.profile_input(A.table(spark, d, "customer")))
+query(lambda spark, d: profile_columns(A.profile_input(A.table(spark, d, "customer"))), "profile_columns")
 
 
 @query

@@ -122,19 +122,22 @@ def forecast_delta(baseline: DataFrame, as_of: Column, *, calendar_tz: str = "UT
 
 
 def station_directory(bridge: DataFrame) -> DataFrame:
-    """Name, mean place and the united routes of every complex."""
-    tokens = F.flatten(F.transform(F.collect_set("daytime_routes"), lambda routes: F.split(routes, r"\s+")))
-    named = F.array_sort(F.array_distinct(F.array_remove(tokens, "")))
-    return (
-        bridge.where(F.col("station_complex_id").isNotNull())
+    """Name, mean place and the united routes of every complex.
+
+    Routes are taken apart before they are collected, so a group holds each route of
+    the network at most once. Both sides are partitioned by complex and join in place.
+    """
+    known = bridge.where(F.col("station_complex_id").isNotNull())
+    places = known.groupBy("station_complex_id").agg(
+        F.min("complex_name").alias("name"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon")
+    )
+    routes = (
+        known.select("station_complex_id", F.explode(F.split("daytime_routes", r"\s+")).alias("route"))
+        .where(F.col("route") != "")
         .groupBy("station_complex_id")
-        .agg(
-            F.min("complex_name").alias("name"),
-            F.avg("lat").alias("lat"),
-            F.avg("lon").alias("lon"),
-            F.nullif(F.array_join(named, " "), F.lit("")).alias("daytime_routes"),
-        )
+        .agg(F.array_join(F.array_sort(F.collect_set("route")), " ").alias("daytime_routes"))
     )
+    return places.join(routes, "station_complex_id", "left")
 
 
 def route_list(directory: DataFrame) -> DataFrame:

@@ -79,19 +79,21 @@ def delay_signal(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     )
 
 
-def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
-    """The pairs of two streams; state is dropped once both watermarks pass the bound."""
+def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame, *, salts: int = 4) -> DataFrame:
+    """The pairs of two streams; state is dropped once both watermarks pass the bound.
+
+    Streams are not re-planned at run time, so a hot trip and stop is spread here: a
+    vehicle row gets one of ``salts`` numbers and a delay row is kept under each.
+    """
     lag = f"{WATERMARK_SECS} seconds"
-    left = usable_vehicles(vehicles).withWatermark("vehicle_timestamp", lag).alias("v")
-    right = usable_delays(delays).withWatermark("trip_timestamp", lag).alias("d")
+    number = F.pmod(F.xxhash64("vehicle_timestamp", "station_complex_id"), F.lit(salts)).cast("int")
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    left = usable_vehicles(vehicles).withColumn("salt", number).withWatermark("vehicle_timestamp", lag).alias("v")
+    right = usable_delays(delays).withColumn("salt", numbers).withWatermark("trip_timestamp", lag).alias("d")
     bound = F.expr(f"INTERVAL {JOIN_BOUND_SECS} SECONDS")
     reported, announced = F.col("v.vehicle_timestamp"), F.col("d.trip_timestamp")
-    return left.join(
-        right,
-        (F.col("v.trip_id") == F.col("d.trip_id"))
-        & (F.col("v.stop_id") == F.col("d.stop_id"))
-        & announced.between(reported - bound, reported + bound),
-    ).select(
+    same_key = [F.col(f"v.{name}") == F.col(f"d.{name}") for name in ("trip_id", "stop_id", "salt")]
+    return left.join(right, [*same_key, announced.between(reported - bound, reported + bound)]).select(
         "v.trip_id",
         "v.stop_id",
         "station_complex_id",

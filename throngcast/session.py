@@ -13,6 +13,15 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins carry no broadcast hints: a side is broadcast when the planner or the
+    # adaptive run finds it below the threshold. File sizes are compressed sizes, so
+    # they are scaled before that check.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Stream state lives off the heap and spills to local disk, logged to the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
