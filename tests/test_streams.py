@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +179,14 @@ def test_console_sink_runs(spark, rows, tmp_path):
 
 def test_scratch_stays_below_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_scratch_without_the_setting():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId="app")
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    first, second = (scratch_path(session("local[2]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch_path(session("spark://host:7077"), "x")

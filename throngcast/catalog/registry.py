@@ -106,9 +106,9 @@ def _newest_day(spark, d):
 
 
 def _baseline(spark, d):
-    return B.build_baseline(
-        _ridership(spark, d), _weather(spark, d), lookback_days=LOOKBACK_DAYS, latest=_newest_day(spark, d)
-    )
+    """Baseline and maxima over the stored join, as the batch layer hands it on."""
+    joined = _stored(spark, _joined(spark, d), "ridership-weather")
+    return B.build_baseline(joined, lookback_days=LOOKBACK_DAYS)
 
 
 def _bridge(spark, d):

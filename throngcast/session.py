@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,7 +19,11 @@ SESSION_DEFAULTS = {
     # adaptive run finds it below the threshold. File sizes are compressed sizes, so
     # they are scaled before that check.
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    # Stream state lives off the heap and spills to local disk, logged to the checkpoint.
+}
+
+# On a cluster stream state lives off the heap, spills to local disk and is logged to
+# the checkpoint. One process serving all partitions is better off with state in memory.
+CLUSTER_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -27,7 +33,8 @@ SESSION_DEFAULTS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime defaults to an existing session and return it."""
-    for key, value in SESSION_DEFAULTS.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**SESSION_DEFAULTS, **({} if local else CLUSTER_DEFAULTS)}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -39,7 +46,12 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         builder = builder.master(master)
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"throngcast-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,10 +62,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="throngcast-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(context.applicationId)
     return f"{base.rstrip('/')}/throngcast/{name}-{uuid.uuid4().hex}"
