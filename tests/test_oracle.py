@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from throngcast.catalog.registry import QUERIES
 from tests.conftest import SF_DIR
 from tests.oracle_check import compare, duck
 
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", list(SQL))

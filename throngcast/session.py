@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -49,21 +47,10 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return configure(builder.getOrCreate())
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"throngcast-{application}-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder of the cluster.
 
-    Only a local session without the setting falls back to a temporary folder:
-    on a cluster a machine-local folder would be lost with its executor.
+    Where ``spark.checkpoint.dir`` is unset the warehouse serves, which executors share too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder(context.applicationId)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/throngcast/{name}-{uuid.uuid4().hex}"
