@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from throngcast.llm import language_id, packing, pii, quality_rules, url_filters
+from throngcast.llm import (
+    decontamination, language_id, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, substring_dedup,
+    url_filters,
+)
 from throngcast.llm.common import crc_of_id
 from throngcast.session import configure
 
@@ -33,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark, d):
+    return substring_dedup.dedup(table(spark, d, "documents")).drop("kept_text")
+
+
 @query
 def op2_url_filters(spark, d):
     """Outcomes: a page is labelled by the label with its number, bad where quality is 0."""
@@ -41,11 +49,25 @@ def op2_url_filters(spark, d):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op3_quality_classifier(spark, d):
+    return quality_classifier.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query
 def op4_packing(spark, d):
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op5_lm_scoring(spark, d):
+    held_out = crc_of_id(F.col("doc_id")) % 7 == 2
+    scored = lm_scoring.score(table(spark, d, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op6_language_id(spark, d):
     docs = table(spark, d, "documents")
@@ -54,6 +76,17 @@ def op6_language_id(spark, d):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "lang_set")
 
 
+@query
+def op7_decontamination(spark, d):
+    """Pairs of a document and a benchmark item that it holds."""
+    return decontamination.find(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op8_near_dedup(spark, d):
+    return near_dedup.classes(table(spark, d, "documents"), words=5, percent=85)
+
+
 @query
 def op9_pii(spark, d):
     return pii.find(table(spark, d, "documents"))
