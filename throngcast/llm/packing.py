@@ -28,8 +28,10 @@ MAX_LEN = 2048
 END_ID = 1
 #: Word endings that the tokenizer's split always takes apart from letters and digits before them.
 LOOSE_END = b".,;:!?*%&$#|"
+#: What ends the tokens that close a word, and words encoded as one text.
+WORD_END, ENCODED_AT_ONCE = "</w>", 2_000
 #: Words whose ids a Python worker remembers, twice at most.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 250_000
 #: Parts into which the pieces of one length are dealt for ranking.
 SPREAD = 64
 
@@ -49,12 +51,28 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.closes = np.array([(self.tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
         self.recent: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each word. Words of letters only are one unit of the tokenizer, whose last token
+        closes a word: they are encoded as one text and taken apart at these tokens."""
+        plain = [w for w in words if w.isalpha() or w.decode().isalpha()]
+        found: dict[bytes, bytes] = {}
+        for start in range(0, len(plain), ENCODED_AT_ONCE):
+            part = plain[start : start + ENCODED_AT_ONCE]
+            text = b" ".join(part).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            if len(ends) == len(part):
+                raw, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+                found.update((w, raw[a:b]) for w, a, b in zip(part, starts, ends.tolist()))
+        rest = [w for w in words if w not in found]
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        found.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, encoded))
+        return found
 
     def _learn(self, words: set[bytes]) -> None:
         """Remember the words' ids; a loose ending after a letter or digit is encoded on its own."""
@@ -65,7 +83,7 @@ class WordIds:
             parts[word] = (stem, word[len(stem) :]) if loose else (word,)
         ids = {p: self.recent.get(p) or self.before.get(p) for own in parts.values() for p in own}
         missing = [p for p, known in ids.items() if known is None]
-        ids.update(zip(missing, self._encode(missing)))
+        ids.update(self._encode(missing))
         self.recent.update(ids)
         self.recent.update({word: b"".join(ids[p] for p in own) for word, own in parts.items()})
 
@@ -75,7 +93,7 @@ class WordIds:
         words = text.split() if b"<|" in text else text.lower().split()
         if len(self.recent) > CACHED_WORDS:
             self.recent, self.before = {}, self.recent
-        unknown = {w for w in words if w not in self.recent}
+        unknown = set(words).difference(self.recent)
         if unknown:
             again = unknown & self.before.keys()
             self.recent.update({w: self.before[w] for w in again})
@@ -84,11 +102,21 @@ class WordIds:
         return b"".join(map(self.recent.__getitem__, words)) + END_ID.to_bytes(4, "little")
 
 
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The Python worker's own instance, which its later tasks go on with."""
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN) -> DataFrame:
     """Each document cut into pieces of ``max_len`` tokens and a rest: ``PIECES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, raw in zip(batch["doc_id"].to_pylist(), batch["raw"]):
