@@ -98,5 +98,49 @@ def op10_quality_rules(spark, d):
     return quality_rules.judge(table(spark, d, "documents"), labels)
 
 
+def _strength(level: str, units: str) -> str:
+    return f"""
+{level}_sums AS (SELECT count(*) AS k, sum(n) AS n, sum(bad) AS y, sum(n * n) AS nn, sum(bad * bad / n) AS yyn
+    FROM {units} WHERE n > 0),
+{level}_terms AS (SELECT k, y / n AS rate, yyn - n * (y / n) * (y / n) - (k - 1) * ((y / n) * (1 - y / n)) AS between_,
+    (n - nn / n - (k - 1)) * ((y / n) * (1 - y / n)) AS room FROM {level}_sums),
+{level}_prior AS (SELECT CASE WHEN k = 0 THEN 0.0 ELSE rate END AS rate, CASE WHEN k = 0 THEN 1.0 ELSE
+    1 / least(greatest(CASE WHEN room > 0 THEN between_ / room ELSE 0 END, 0.001), 0.999) - 1 END AS m FROM {level}_terms)"""
+
+
+_FITS = {
+    "block example.org/en/1": "example.org/en/1", "block example.org/es/": "example.org/es/",
+    "allow com/fr/": "com/fr/", "block com/de/": "com/de/", "allow org/": "org/",
+}
+
+
+def _fits(rule: str) -> str:
+    host, _, path = rule.partition("/")
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+
+
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": f"""
+WITH parsed AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''), '{url_filters.UPPER}', '{url_filters.UPPER.lower()}') AS host,
+    coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+counted AS (SELECT host, count(quality)::DOUBLE AS n, coalesce(sum(1 - quality), 0)::DOUBLE AS bad
+    FROM parsed LEFT JOIN labels ON doc_id = page_id GROUP BY host),
+hosts AS (SELECT *, CASE WHEN regexp_matches(host, '^[0-9.:]+$') OR regexp_extract(host, '([^.]+[.][^.]+)$', 1) = '' THEN host
+    ELSE regexp_extract(host, '([^.]+[.][^.]+)$', 1) END AS domain,
+    CASE WHEN regexp_matches(host, '^[0-9.:]+$') OR regexp_extract(host, '([^.]+)$', 1) = '' THEN host
+    ELSE regexp_extract(host, '([^.]+)$', 1) END AS suffix FROM counted),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix),
+domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain),
+{_strength("suffix", "suffixes")}, {_strength("domain", "domains")}, {_strength("host", "hosts")},
+suffix_rates AS (SELECT suffix, (bad + m * rate) / (n + m) AS r FROM suffixes, suffix_prior),
+domain_rates AS (SELECT domain, (d.bad + m * s.r) / (d.n + m) AS r FROM domains d JOIN suffix_rates s USING (suffix), domain_prior),
+posterior AS (SELECT host, bad + m * r AS a, n - bad + m * (1 - r) AS b FROM hosts JOIN domain_rates USING (domain), host_prior),
+bounds AS (SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM posterior)
+SELECT page_id, host, path,
+    CASE {" ".join(f"WHEN {_fits(r)} THEN '{r}'" for r in _FITS.values())} END AS rule,
+    CASE {" ".join(f"WHEN {_fits(r)} THEN '{v.split()[0]}'" for v, r in _FITS.items())}
+    WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM parsed LEFT JOIN bounds USING (host)""",
+}
