@@ -5,11 +5,14 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
 import duckdb
 
+# A folder that all executors share; in this local run any folder is.
+CHECKPOINTS = os.environ.get("ORACLE_CHECKPOINTS", "/tmp/checkpoints/oracle-check")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -70,7 +73,7 @@ def main(argv) -> int:
 
     sf_dir = argv[0] if argv and "/" in argv[0] else "/root/testdata/sf0.01"
     wanted = [name for name in argv if "/" not in name]
-    conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.checkpoint.dir": CHECKPOINTS}
     spark = build_session("oracle-check", "local[8]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)

@@ -9,19 +9,21 @@ from throngcast.schemas import CAPACITY_BASELINE
 from throngcast.sources import columns, readers, writers
 
 
-def test_find_column_ignores_case_and_punctuation():
-    names = ["Transit Timestamp", "GTFS-Stop.ID", "x"]
-    assert columns.find_column(names, ["transit_timestamp"]) == "Transit Timestamp"
-    assert columns.find_column(names, ["nope", "gtfs stop id"]) == "GTFS-Stop.ID"
-    assert columns.find_column(names, ["nope"], required=False) is None
-    with pytest.raises(ValueError, match="nope"):
-        columns.find_column(names, ["nope"])
-
-
-def test_optional_and_required_columns(rows):
+def test_headers_are_found_by_their_words(rows):
+    df = rows("`Transit Timestamp` string, `GTFS-Stop.ID` string, x string, xy string", ("t", "s", "1", "2"))
+    named = columns.HeaderLookup(df)
+    assert named.first_of("transit_timestamp") == "Transit Timestamp"
+    assert named.first_of("nope", "gtfs stop id") == "GTFS-Stop.ID"
+    assert named.first_of("nope", "x y") is None and ("nope", "X") in named and "nope" not in named
+    assert df.select(named.need("gtfs stop id")).first()[0] == "s"
+    with pytest.raises(ValueError, match="nope or never; the file has Transit"):
+        named.need("nope", "never")
+
+
+def test_wanted_columns_are_typed(rows):
     df = rows("`A b` string", ("v",))
-    got = df.select(columns.required_column(df, "a_b").alias("x"), columns.optional_column(df, "double", "z").alias("y"))
-    assert got.dtypes == [("x", "string"), ("y", "double")]
+    named = columns.HeaderLookup(df)
+    assert df.select(named.need("a_b").alias("x"), named.want("double", "z").alias("y")).dtypes == [("x", "string"), ("y", "double")]
     columns.require_columns(df, ["A b"], "frame")
     with pytest.raises(ValueError, match="frame lacks"):
         columns.require_columns(df, ["q"], "frame")
@@ -44,7 +46,9 @@ def test_incremental_extract(rows):
 
 
 def test_kafka_options():
-    options = readers.kafka_options("h:9092", "gtfs-trips", starting_offsets="earliest", group_prefix="trips")
+    options = readers.kafka_options(
+        "h:9092", "gtfs-trips", starting_offsets="earliest", max_offsets_per_trigger=5000, group_prefix="trips"
+    )
     assert options == {
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "gtfs-trips",
@@ -52,7 +56,7 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "5000",
         "groupIdPrefix": "trips",
     }
-    assert "maxOffsetsPerTrigger" not in readers.kafka_options("h", "t", max_offsets_per_trigger=None)
+    assert "maxOffsetsPerTrigger" not in readers.kafka_options("h", "t")
 
 
 def test_partitioned_overwrite_replaces_touched_dates_only(spark, rows, tmp_path):
@@ -96,8 +100,46 @@ def test_append_batch_is_idempotent(spark, rows, tmp_path):
     for batch_id, value in ((0, 1), (1, 2), (1, 2)):
         writers.append_batch(rows("k string, v int", ("a", value), (f"only{batch_id}", 0)), batch_id, path)
     assert spark.read.parquet(path).count() == 4
-    view = {r.k: r.v for r in writers.keyed_view(spark, path, ["k"]).collect()}
+    schema = rows("k string, v int").schema
+    view = {r.k: r.v for r in writers.keyed_view(spark, path, schema, ["k"]).collect()}
     assert view == {"a": 2, "only0": 0, "only1": 0}
+    writers.append_batch(rows("k string, v int"), 1, path)  # a retry without rows
+    assert {r.k for r in writers.keyed_view(spark, path, schema, ["k"]).collect()} == {"a", "only0"}
+
+
+def test_tables_of_empty_batches_can_be_read(spark, rows, tmp_path):
+    path, empty = str(tmp_path / "b"), rows("k string, v int")
+    assert writers.keyed_view(spark, path, empty.schema, ["k"]).count() == 0
+    writers.append_batch(empty, 0, path)
+    assert writers.keyed_view(spark, path, empty.schema, ["k"]).count() == 0
+
+
+def test_snapshots_stay_few_and_hold_the_latest(spark, rows, tmp_path):
+    path, shape = str(tmp_path / "s"), "k string, v int, t int"
+    for batch_id in range(12):
+        writers.merge_batch(rows(shape, (f"k{batch_id % 3}", batch_id, batch_id)), batch_id, path, ["k"], ["t"])
+    writers.merge_batch(rows(shape, ("k2", 99, 11)), 11, path, ["k"], ["t"])  # a retry
+    assert writers.snapshot_ids(spark, path) == [9, 10, 11]
+    found = {r.k: r.v for r in writers.read_snapshot(spark, path, rows(shape).schema).collect()}
+    assert found == {"k0": 9, "k1": 10, "k2": 99}
+    older = writers.merge_batch(rows(shape, ("k0", 1, 1)), 12, path, ["k"], ["t"])
+    assert older.count() == 3 and writers.read_snapshot(spark, path, rows(shape).schema).where("k = 'k0'").first().v == 9
+
+
+def test_expired_batches_are_deleted(spark, rows, tmp_path):
+    path, shape = str(tmp_path / "e"), "k string, inserted_at timestamp"
+    for batch_id, day in ((0, 1), (1, 2), (2, 5)):
+        writers.append_batch(rows(shape, ("a", datetime(2025, 1, day))), batch_id, path)
+    as_of = F.lit("2025-01-03 00:00:00").cast("timestamp")
+    assert writers.expire(spark, path, rows(shape).schema, as_of, hours=24) == 1
+    assert writers.snapshot_ids(spark, path) == [1, 2]
+
+
+def test_keyed_table_keeps_one_row_per_key(spark, rows, tmp_path):
+    path = str(tmp_path / "k")
+    for value in (1, 2):
+        writers.write_keyed_store(rows("k string, v int", ("a", value), (f"b{value}", 0)), path, keys=["k"])
+    assert {(r.k, r.v) for r in readers.read_keyed_store(spark, path).collect()} == {("a", 2), ("b1", 0), ("b2", 0)}
 
 
 def test_bulk_load_coerces_types(spark, tmp_path):

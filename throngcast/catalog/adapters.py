@@ -63,8 +63,9 @@ def wide_weather(ev: DataFrame) -> DataFrame:
 
 
 def raw_stations(part: DataFrame) -> DataFrame:
-    return part.where("p_partkey % 3 = 0").selectExpr(
-        "CAST(p_partkey AS STRING) AS `GTFS Stop ID`",
+    return part.selectExpr(
+        # the stations of two thirds of the stops go by an id that no stop has
+        "CASE WHEN p_partkey % 3 = 0 THEN CAST(p_partkey AS STRING) ELSE concat('P', p_partkey) END AS `GTFS Stop ID`",
         "CAST(p_partkey % 400 AS STRING) AS `Complex ID`",
         "p_name AS `Stop Name`",
         "CAST(40.5D + (p_partkey % 5) / 50D AS STRING) AS `GTFS Latitude`",
@@ -108,14 +109,13 @@ def stop_times(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _messages(df: DataFrame, cut: str, length: int) -> DataFrame:
-    """Encode ``json`` as a broker message, shortened into malformed text where ``cut`` holds."""
-    text = F.when(F.expr(cut), F.substring("json", 1, length)).otherwise(F.col("json"))
-    return df.select(text.cast("binary").alias("value"), "timestamp")
+def _messages(df: DataFrame) -> DataFrame:
+    """Encode ``json`` as a broker message."""
+    return df.select(F.col("json").cast("binary").alias("value"), "timestamp")
 
 
 def vehicle_messages(ev: DataFrame) -> DataFrame:
-    typed = ev.where("event_type = 'view'").selectExpr(
+    typed = ev.where("event_type NOT IN ('error', 'purchase')").selectExpr(
         "event_id",
         "to_json(named_struct('feed', 'main', 'feed_timestamp', CAST(unix_seconds(ts) AS STRING), "
         "'entity_id', concat('v', event_id), 'route_id', CASE WHEN user_id % 4 > 0 THEN 'A' END, "
@@ -127,11 +127,11 @@ def vehicle_messages(ev: DataFrame) -> DataFrame:
         "'timestamp', CASE WHEN event_id % 13 > 0 THEN CAST(unix_seconds(ts) AS STRING) END)) AS json",
         "ts AS timestamp",
     )
-    return _messages(typed, "event_id % 50 = 0", 40)
+    return _messages(typed)
 
 
 def delay_messages(ev: DataFrame) -> DataFrame:
-    typed = ev.where("event_type = 'error'").selectExpr(
+    typed = ev.where("event_type IN ('error', 'purchase')").selectExpr(
         "event_id",
         "to_json(named_struct('feed', 'main', 'feed_timestamp', CAST(unix_seconds(ts) AS STRING), "
         "'entity_id', concat('t', event_id), 'route_id', 'A', "
@@ -144,7 +144,7 @@ def delay_messages(ev: DataFrame) -> DataFrame:
         "'timestamp', CASE WHEN event_id % 13 > 0 THEN CAST(unix_seconds(ts) AS STRING) END)) AS json",
         "ts AS timestamp",
     )
-    return _messages(typed, "event_id % 50 = 0", 40)
+    return _messages(typed)
 
 
 def closing_messages(ev: DataFrame) -> dict[str, DataFrame]:
@@ -165,7 +165,8 @@ def closing_messages(ev: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def trip_messages(lineitem: DataFrame) -> DataFrame:
+def trip_messages(lineitem: DataFrame, *, malformed: bool = False) -> DataFrame:
+    """Trip updates; ``malformed`` sends a broken second copy after some of them."""
     key = "lpad(CAST(l_orderkey DIV 10 AS STRING), 8, '0')"
 
     def stop(step: int) -> str:
@@ -194,10 +195,14 @@ def trip_messages(lineitem: DataFrame) -> DataFrame:
         "AS STRING) END)) AS json",
         "CAST(l_shipdate AS TIMESTAMP) AS timestamp",
     )
-    return _messages(typed, "l_partkey % 50 = 7", 60)
+    sent = _messages(typed)
+    if not malformed:
+        return sent
+    broken = typed.where("l_partkey % 50 = 7").withColumn("json", F.substring("json", 1, 60))
+    return sent.unionByName(_messages(broken))
 
 
-def feed_frames(ev: DataFrame) -> DataFrame:
+def feed_frames(ev: DataFrame, *, malformed: bool = False) -> DataFrame:
     trip = (
         "named_struct('trip_id', concat('T', user_id), 'route_id', "
         "CASE user_id % 6 WHEN 0 THEN 'A' WHEN 1 THEN '1' WHEN 2 THEN '7' WHEN 3 THEN 'GS' WHEN 4 THEN '' END)"
@@ -220,12 +225,15 @@ def feed_frames(ev: DataFrame) -> DataFrame:
         f"'entity', array({entity}))) AS json",
         "ts AS timestamp",
     )
-    return framed.selectExpr(
-        "feed",
-        "CAST(CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 50 = 0 THEN substring(json, 1, 36) "
-        "ELSE json END AS BINARY) AS value",
-        "timestamp",
+    if not malformed:
+        return framed.selectExpr("feed", "CAST(json AS BINARY) AS value", "timestamp")
+    # a failed fetch and a broken copy come after some of the frames
+    copies = framed.selectExpr(
+        "*",
+        "explode(array_compact(array(json, CASE WHEN event_id % 97 = 0 THEN '' END, "
+        "CASE WHEN event_id % 50 = 0 THEN substring(json, 1, 36) END))) AS sent",
     )
+    return copies.selectExpr("feed", "CAST(sent AS BINARY) AS value", "timestamp")
 
 
 def observations(ev: DataFrame) -> DataFrame:
@@ -262,8 +270,9 @@ def message_log(ev: DataFrame) -> DataFrame:
 
 
 def topic_baseline(region: DataFrame) -> DataFrame:
-    return region.where("r_regionkey < 2").selectExpr(
-        "CASE r_regionkey WHEN 0 THEN 'click' ELSE 'view' END AS topic", "100 * (r_regionkey + 1) AS total"
+    return region.selectExpr(
+        "CASE r_regionkey WHEN 0 THEN 'click' WHEN 1 THEN 'view' ELSE lower(r_name) END AS topic",
+        "100 * (r_regionkey + 1) AS total",
     )
 
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 
 NORM = "trim(regexp_replace(replace(lower({0}), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
-HAVERSINE = (
-    "2 * 6371000.0::DOUBLE * atan2(sqrt(pow(sin(radians({2} - {0}) / 2), 2) + cos(radians({0})) * cos(radians({2})) "
-    "* pow(sin(radians({3} - {1}) / 2), 2)), sqrt(1 - (pow(sin(radians({2} - {0}) / 2), 2) + cos(radians({0})) "
-    "* cos(radians({2})) * pow(sin(radians({3} - {1}) / 2), 2))))"
+# least() skips nulls, so the coordinates are added once more with weight 0
+CHORD = (
+    "(least(1.0::DOUBLE, pow(sin(radians({2} - {0}) / 2), 2) + cos(radians({0})) * cos(radians({2})) "
+    "* pow(sin(radians({3} - {1}) / 2), 2)) + 0 * ({0} + {1} + {2} + {3}))"
 )
+HAVERSINE = f"2 * 6371000.0::DOUBLE * atan2(sqrt({CHORD}), sqrt(1 - {CHORD}))"
 DELAY_LABEL = (
     "CASE WHEN {0} IS NULL OR {0} <= 30 THEN 'On time' WHEN {0} < 60 THEN '<1 min' "
     "WHEN {0} < 600 THEN '~' || round_even({0} / 60, 0)::BIGINT || ' min' "
@@ -68,10 +69,10 @@ CTES: dict[str, str] = {
     "maxima": """
         SELECT station_complex_id, max(entries) AS max_hourly_entries FROM baseline_input GROUP BY ALL""",
     "seed": """
-        SELECT p_partkey::VARCHAR AS gtfs_stop_id, (p_partkey % 400)::VARCHAR AS station_complex_id, p_name AS complex_name,
+        SELECT CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'P' END || p_partkey AS gtfs_stop_id, (p_partkey % 400)::VARCHAR AS station_complex_id, p_name AS complex_name,
                40.5::DOUBLE + (p_partkey % 5) / 50 AS lat, -74.25::DOUBLE + (p_partkey % 4) / 8 AS lon,
                NULL::VARCHAR AS borough, p_brand || ' ' || p_type AS daytime_routes
-        FROM part WHERE p_partkey % 3 = 0""",
+        FROM part""",
     "stops": """
         SELECT p_partkey::VARCHAR AS gtfs_stop_id, ' ' || p_partkey || 'N ' AS source_stop_id,
                CASE WHEN p_partkey % 7 = 0 THEN 'Unlisted Place Number ' || p_partkey ELSE replace(p_name, 'a', 'e') END AS stop_name,
@@ -127,22 +128,20 @@ CTES: dict[str, str] = {
                CASE WHEN s_suppkey % 3 > 0 THEN 'R' || s_nationkey || ' R' || (s_suppkey % 7) END AS daytime_routes
         FROM supplier""",
     "vehicles": """
-        SELECT CASE WHEN ok THEN 'T' || (user_id // 50) END AS trip_id,
-               CASE WHEN ok THEN CASE WHEN user_id % 4 > 0 THEN 'A' ELSE 'C' END END AS route_id,
-               CASE WHEN ok THEN 'car' || user_id END AS vehicle_id, CASE WHEN ok THEN (user_id // 50) || 'N' END AS stop_id,
-               e.stop_id_base, CASE WHEN ok THEN 'STOPPED_AT' END AS current_status,
-               CASE WHEN ok THEN (user_id % 30)::INTEGER END AS current_stop_sequence,
+        SELECT 'T' || (user_id // 50) AS trip_id, CASE WHEN user_id % 4 > 0 THEN 'A' ELSE 'C' END AS route_id,
+               'car' || user_id AS vehicle_id, (user_id // 50) || 'N' AS stop_id, e.stop_id_base, 'STOPPED_AT' AS current_status,
+               (user_id % 30)::INTEGER AS current_stop_sequence,
                event_timestamp, b.station_complex_id, b.complex_name, b.lat, b.lon,
                CAST(event_timestamp AS DATE) AS event_date
-        FROM (SELECT *, event_id % 50 <> 0 AS ok, CASE WHEN event_id % 50 <> 0 THEN (user_id // 50)::VARCHAR END AS stop_id_base,
-                     CASE WHEN event_id % 50 = 0 OR event_id % 13 = 0 THEN ts ELSE date_trunc('second', ts) END AS event_timestamp
-              FROM events WHERE event_type = 'view') e
+        FROM (SELECT *, (user_id // 50)::VARCHAR AS stop_id_base,
+                     CASE WHEN event_id % 13 = 0 THEN ts ELSE date_trunc('second', ts) END AS event_timestamp
+              FROM events WHERE event_type NOT IN ('error', 'purchase')) e
         LEFT JOIN bridge b ON b.gtfs_stop_id = e.stop_id_base""",
     "delays": """
         SELECT 'T' || (user_id // 50) AS trip_id, (user_id // 50) || 'N' AS stop_id,
                floor(value * 5)::INTEGER AS arrival_delay_secs,
                CASE WHEN event_id % 13 = 0 THEN ts ELSE date_trunc('second', ts) END AS event_timestamp
-        FROM events WHERE event_type = 'error' AND event_id % 50 <> 0""",
+        FROM events WHERE event_type IN ('error', 'purchase')""",
     "pairs": """
         SELECT v.trip_id, v.stop_id, v.station_complex_id, v.event_timestamp AS vehicle_timestamp,
                d.arrival_delay_secs::DOUBLE AS arrival_delay_secs, d.event_timestamp AS trip_timestamp
@@ -181,8 +180,7 @@ CTES: dict[str, str] = {
               FROM events)""",
     "frames": """
         SELECT *, CASE user_id % 3 WHEN 0 THEN 'ace' WHEN 1 THEN 'g' ELSE 'main' END AS feed,
-               floor(epoch(ts))::BIGINT AS secs,
-               CASE WHEN event_id % 97 = 0 THEN 'fetch_failed' WHEN event_id % 50 = 0 THEN 'parse_error: malformed JSON' END AS error
+               floor(epoch(ts))::BIGINT AS secs
         FROM events""",
     "scored": """
         SELECT (user_id % 20)::VARCHAR AS station_complex_id, 'Complex ' || (user_id % 20) AS complex_name,
@@ -209,7 +207,7 @@ CTES: dict[str, str] = {
         FROM directory d JOIN (
             SELECT d2.station_complex_id, coalesce(l.alert_level, 'N/A') AS alert_level_or,
                    coalesce(l.congestion_score, 0) AS score, l.avg_arrival_delay_secs AS delay_secs
-            FROM directory d2 LEFT JOIN (SELECT * FROM latest WHERE station_complex_id::INTEGER % 3 > 0) l
+            FROM directory d2 LEFT JOIN latest l
                  USING (station_complex_id)) s USING (station_complex_id)""",
     "updates": f"""
         SELECT CASE l_orderkey % 3 WHEN 0 THEN {TRIP_KEY} || '_1..N0' || l_linenumber || 'R' WHEN 1 THEN {TRIP_KEY} || '_1..N'
@@ -225,12 +223,10 @@ CTES: dict[str, str] = {
                (l_linenumber * 3)::INTEGER AS departure_delay_secs,
                CASE WHEN l_suppkey % 11 > 0 THEN 1704085200 + (l_partkey % 28) * 90000 + (l_orderkey * 7) % 900 + step * 60
                     END AS arrival_time_epoch, event_unix_ts, kafka_ts, l_partkey
-        FROM updates, (SELECT unnest([0, 1]) AS step) WHERE l_partkey % 25 > 0 AND l_partkey % 50 <> 7
+        FROM updates, (SELECT unnest([0, 1]) AS step) WHERE l_partkey % 25 > 0
         UNION ALL
         SELECT trip_id, route_id, start_date, NULL, NULL, NULL, NULL, NULL, event_unix_ts, kafka_ts, l_partkey
-        FROM updates WHERE l_partkey % 25 = 0 AND l_partkey % 50 <> 7
-        UNION ALL
-        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, kafka_ts, l_partkey FROM updates WHERE l_partkey % 50 = 7""",
+        FROM updates WHERE l_partkey % 25 = 0""",
     "scheduled_delays": """
         SELECT trip_id, route_id, start_date, stop_id, stop_sequence,
                coalesce(arrival_delay_native, computed)::INTEGER AS arrival_delay_secs, departure_delay_secs, arrival_time_epoch,
@@ -316,12 +312,14 @@ _SELECTS: dict[str, str] = {
                                    ELSE CASE user_id % 6 WHEN 0 THEN 'A' WHEN 1 THEN '1' WHEN 2 THEN '7' WHEN 3 THEN 'GS' END END AS route_id,
                            unnest(CASE event_type WHEN 'view' THEN ['gtfs-vehicle'] WHEN 'error' THEN ['gtfs-trips']
                                   WHEN 'click' THEN ['gtfs-vehicle', 'gtfs-trips'] WHEN 'signup' THEN ['gtfs-alerts'] ELSE [] END) AS topic
-                    FROM frames WHERE error IS NULL))""",
+                    FROM frames))""",
     "dead_letters": """
         SELECT feed AS key, 'gtfs-dlq' AS topic, feed, error, secs AS received_at,
                CASE WHEN error <> 'fetch_failed' THEN base64(encode(substr('{"feed":"' || feed || '","feed_timestamp":"' || secs || '"', 1, 36)))
                END AS raw_b64
-        FROM frames WHERE error IS NOT NULL""",
+        FROM (SELECT *, unnest([CASE WHEN event_id % 97 = 0 THEN 'fetch_failed' END,
+              CASE WHEN event_id % 50 = 0 THEN 'parse_error: malformed JSON' END]) AS error FROM frames)
+        WHERE error IS NOT NULL""",
     "topic_offsets": "SELECT event_type AS topic, (user_id % 12)::INTEGER AS partition, max(event_id) + 1 AS next_offset FROM events GROUP BY ALL",
     "topic_totals": """
         SELECT topic, total, total - CASE topic WHEN 'click' THEN 100 WHEN 'view' THEN 200 ELSE 0 END AS delta
@@ -329,8 +327,8 @@ _SELECTS: dict[str, str] = {
               SELECT event_type AS topic, user_id % 12 AS p, max(event_id) + 1 AS n FROM events GROUP BY ALL) GROUP BY topic)""",
     "topic_throughput": "SELECT date_trunc('minute', ts) AS window_start, event_type AS topic, count(*) AS msgs_per_min FROM events GROUP BY ALL",
     # projections and scalar rules
-    "resolve_columns": "SELECT p_partkey::VARCHAR AS stop_id, (p_partkey % 400)::VARCHAR AS complex_id, "
-    "p_brand || ' ' || p_type AS routes, NULL::VARCHAR AS borough FROM part WHERE p_partkey % 3 = 0",
+    "resolve_columns": "SELECT CASE WHEN p_partkey % 3 = 0 THEN '' ELSE 'P' END || p_partkey AS stop_id, (p_partkey % 400)::VARCHAR AS complex_id, "
+    "p_brand || ' ' || p_type AS routes, NULL::VARCHAR AS borough FROM part",
     "normalize_stop_ids": "SELECT ' ' || p_partkey || side || ' ' AS stop_id, p_partkey::VARCHAR AS normalized, "
     "' ' || p_partkey || side || ' ' AS untrimmed_base, '' AS of_null FROM part, (SELECT unnest(['N', 'S']) AS side)",
     "normalize_names": f"SELECT name, {NORM.format('name')} AS normalized FROM "
@@ -338,7 +336,10 @@ _SELECTS: dict[str, str] = {
     "haversine": f"""
         SELECT c_custkey, round({HAVERSINE.format('lat1', 'lon1', 'lat2', 'lon2')} / 1000, 6) AS km
         FROM (SELECT c_custkey, (c_custkey % 170 - 85)::DOUBLE AS lat1, (c_custkey % 340 - 170)::DOUBLE AS lon1,
-                     c_acctbal / 200 AS lat2, CASE WHEN c_custkey % 11 > 0 THEN c_acctbal / 100 END AS lon2 FROM customer)""",
+                     c_acctbal / 200 AS lat2, CASE WHEN c_custkey % 11 > 0 THEN c_acctbal / 100 END AS lon2 FROM customer
+              UNION ALL
+              SELECT -c_custkey, (c_custkey % 170 - 85)::DOUBLE, (c_custkey % 340 - 170)::DOUBLE, -(c_custkey % 170 - 85)::DOUBLE,
+                     (c_custkey % 340 - 170)::DOUBLE + 180 FROM customer)""",
     "weather_bucket": f"""
         SELECT event_id, {_r('prcp_in', 'snow_in')},
                CASE WHEN snow_in > 0.1 THEN 'snow' WHEN prcp_in > 0.1 THEN 'rain' ELSE 'clear' END AS bucket
@@ -385,10 +386,10 @@ _SELECTS: dict[str, str] = {
         WINDOW w AS (ORDER BY c.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "join_weather": f"""
         SELECT r.* REPLACE ({_r('entries')}), coalesce(w.weather_bucket, 'clear') AS weather_bucket, w.weather_bucket IS NULL AS weather_join_missing
-        FROM ridership_clean r LEFT JOIN (SELECT * FROM weather_clean WHERE day(date) % 4 > 0) w USING (date)""",
+        FROM ridership_clean r LEFT JOIN weather_clean w USING (date)""",
     "bridge_validate": f"""
         SELECT r.* REPLACE ({_r('entries')}), station_complex_id IN (SELECT station_complex_id FROM bridge
-               WHERE station_complex_id IS NOT NULL AND station_complex_id::INTEGER % 3 > 0) AS bridge_resolved FROM ridership_clean r""",
+               WHERE station_complex_id IS NOT NULL) AS bridge_resolved FROM ridership_clean r""",
     "lookback_filter": f"SELECT * REPLACE ({_r('entries')}) FROM ridership_clean WHERE date >= (SELECT max(date) FROM ridership_clean) - 7",
     "capacity_baseline": f"SELECT {BASELINE_COLUMNS} FROM baseline",
     "station_max": f"SELECT station_complex_id, {_r('max_hourly_entries')} FROM maxima",
@@ -401,7 +402,7 @@ _SELECTS: dict[str, str] = {
         SELECT 'weather_bucket' AS counted, weather_bucket AS value, count(*) AS rows FROM weather_clean GROUP BY ALL
         UNION ALL
         SELECT 'bridge_resolved', known::VARCHAR, count(*) FROM (SELECT station_complex_id IN (SELECT station_complex_id FROM bridge
-            WHERE station_complex_id IS NOT NULL AND station_complex_id::INTEGER % 3 > 0) AS known FROM ridership_clean) GROUP BY ALL""",
+            WHERE station_complex_id IS NOT NULL) AS known FROM ridership_clean) GROUP BY ALL""",
     # bridge and schedule
     "bridge_tier1": f"SELECT {BRIDGE_COLUMNS} FROM tier1",
     "bridge_tier2_name": f"SELECT {BRIDGE_COLUMNS} FROM tier2",
@@ -423,13 +424,14 @@ _SELECTS: dict[str, str] = {
         WHERE rn = 1""",
     # live path
     "enrich_vehicles": f"SELECT * REPLACE ({_r('lat', 'lon')}) FROM vehicles",
-    "parse_trip_updates": "SELECT * EXCLUDE (l_partkey) FROM parsed_updates",
+    "parse_trip_updates": "SELECT * EXCLUDE (l_partkey) FROM parsed_updates UNION ALL "
+    "SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, kafka_ts FROM updates WHERE l_partkey % 50 = 7",
     "trip_delays": "SELECT * FROM scheduled_delays",
     "interval_join": f"SELECT {PAIR_COLUMNS} FROM pairs",
     "sliding_delay_avg": """
         SELECT (user_id % 20)::VARCHAR AS station_complex_id, make_timestamp((epoch_us(ts) // 30000000 + 1 + k) * 30000000) AS event_timestamp,
                round(avg(value), 6) AS avg_arrival_delay_secs
-        FROM events, (SELECT unnest(range(0, 20)) AS k) WHERE event_type = 'error' GROUP BY ALL""",
+        FROM events, (SELECT unnest(range(0, 20)) AS k) GROUP BY ALL""",
     "delay_signal": SIGNAL_QUERY,
     "score_congestion": SCORE_QUERY,
     "score_with_current_condition": f"""
@@ -445,7 +447,7 @@ _SELECTS: dict[str, str] = {
     f"FROM (SELECT {SCORED_COLUMNS} FROM latest) WHERE station_complex_id = '7'",
     "station_history": f"""
         SELECT event_timestamp, {_r('congestion_score', 'avg_arrival_delay_secs')}, alert_level FROM scored
-        WHERE station_complex_id = '7' AND inserted_at >= {AS_OF} - INTERVAL 48 HOUR ORDER BY event_timestamp""",
+        WHERE station_complex_id = '7' AND inserted_at >= {AS_OF} - INTERVAL 48 HOUR""",
     "forecast_next_hour": f"SELECT station_complex_id, hour_of_day AS next_hour, day_of_week, {_r('avg_entries', 'p95_entries')} FROM baseline "
     "WHERE weather_bucket = 'clear' AND day_of_week = dayofweek(DATE '2024-01-30') + 1 AND hour_of_day = 9",
     "baseline_profile": "SELECT station_complex_id, hour_of_day, round(avg(avg_entries), 6) AS avg_entries FROM baseline WHERE weather_bucket = 'clear' GROUP BY ALL",

@@ -7,7 +7,7 @@ order may differ in the last bit.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache, wraps
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,10 @@ from throngcast.plans import scoring as scores
 from throngcast.plans import signal as signals
 from throngcast.plans import weather as daily_weather
 from throngcast.plans.bridge import Bridge, bridge_summary
+from throngcast.schemas import SCORED
 from throngcast.session import configure, scratch_path
 from throngcast.sources import readers, writers
-from throngcast.sources.columns import optional_column, required_column
+from throngcast.sources.columns import HeaderLookup
 from throngcast.streaming import jobs
 from throngcast.streaming.runner import ONCE_THROUGH, state_partitions, to_parquet
 
@@ -39,6 +40,7 @@ INSERTED_AT = "2024-02-01 00:00:00"
 WEATHER_SCALE = 1 / 2000
 LOOKBACK_DAYS = 20
 STATION = "7"
+STATE_WIDTH = 8
 SELECTED_ROUTES = ("R3", "R5")
 
 
@@ -62,22 +64,6 @@ def query(build: Query, name: str | None = None) -> Query:
 # --- shared inputs -----------------------------------------------------------
 
 
-@cache
-def _is_small(spark, d, name) -> bool:
-    return readers.has_few_splits(A.table(spark, d, name))
-
-
-def _events(spark, d):
-    """Events for plans that parse text, one split per core at least."""
-    df = A.events(spark, d)
-    return readers.spread(df, "event_id") if _is_small(spark, d, "events") else df
-
-
-def _items(spark, d):
-    df = A.table(spark, d, "lineitem")
-    return readers.spread(df, "l_orderkey", "l_linenumber") if _is_small(spark, d, "lineitem") else df
-
-
 def _stored(spark, df, name):
     """The frame written to a shared table, for plans that read it several times."""
     path = scratch_path(spark, name)
@@ -86,7 +72,7 @@ def _stored(spark, df, name):
 
 
 def _ridership(spark, d):
-    return ridership.clean_ridership(A.raw_ridership(_events(spark, d)))
+    return ridership.clean_ridership(A.raw_ridership(A.events(spark, d)))
 
 
 def _weather(spark, d):
@@ -101,7 +87,7 @@ def _joined(spark, d):
 
 def _newest_day(spark, d):
     """Newest ridership date, taken before the aggregation that leaves it unchanged."""
-    typed = ridership.typed_ridership(A.raw_ridership(_events(spark, d)))
+    typed = ridership.typed_ridership(A.raw_ridership(A.events(spark, d)))
     return typed.agg(F.to_date(F.max("transit_timestamp")).alias("date"))
 
 
@@ -121,11 +107,11 @@ def _cascade(spark, d):
 
 
 def _schedule(spark, d):
-    return schedule.schedule_full(A.stop_times(_items(spark, d)))
+    return schedule.schedule_full(A.stop_times(A.table(spark, d, "lineitem")))
 
 
 def _vehicles(spark, d):
-    parsed = live.parse_vehicles(A.vehicle_messages(_events(spark, d)))
+    parsed = live.parse_vehicles(A.vehicle_messages(A.events(spark, d)))
     return live.enrich_vehicles(parsed, _bridge(spark, d))
 
 
@@ -138,7 +124,7 @@ def _delays_of(messages, spark, d):
 
 def _announced(spark, d):
     """Delays of the live feed; every message announces its delay, so no schedule is looked up."""
-    return live.trip_delays(live.parse_trip_updates(A.delay_messages(_events(spark, d))))
+    return live.trip_delays(live.parse_trip_updates(A.delay_messages(A.events(spark, d))))
 
 
 def _signal(spark, d):
@@ -192,7 +178,7 @@ def incremental_extract(spark, d):
 
 @query
 def route_messages(spark, d):
-    sent = ingest.fan_out(ingest.parse_frames(A.feed_frames(_events(spark, d))))
+    sent = ingest.fan_out(ingest.parse_frames(A.feed_frames(A.events(spark, d))))
     return sent.select(
         "key",
         "topic",
@@ -205,7 +191,7 @@ def route_messages(spark, d):
 
 @query
 def dead_letters(spark, d):
-    rejected = ingest.dead_letters(ingest.parse_frames(A.feed_frames(_events(spark, d))))
+    rejected = ingest.dead_letters(ingest.parse_frames(A.feed_frames(A.events(spark, d), malformed=True)))
     return rejected.select(
         "key",
         "topic",
@@ -239,11 +225,12 @@ def topic_throughput(spark, d):
 @query
 def resolve_columns(spark, d):
     stations = A.raw_stations(A.table(spark, d, "part"))
+    named = HeaderLookup(stations)
     return stations.select(
-        required_column(stations, "gtfs_stop_id").alias("stop_id"),
-        required_column(stations, "station complex id", "complex id").alias("complex_id"),
-        required_column(stations, "DAYTIME-ROUTES").alias("routes"),
-        optional_column(stations, "string", "Borough").alias("borough"),
+        named.need("gtfs_stop_id").alias("stop_id"),
+        named.need("station complex id", "complex id").alias("complex_id"),
+        named.need("DAYTIME-ROUTES").alias("routes"),
+        named.want("string", "Borough").alias("borough"),
     )
 
 
@@ -272,7 +259,9 @@ def haversine(spark, d):
         "c_acctbal / 200 AS lat2",
         "CASE WHEN c_custkey % 11 > 0 THEN c_acctbal / 100 END AS lon2",
     )
-    return points.select("c_custkey", (geo.haversine_meters(*map(F.col, ("lat1", "lon1", "lat2", "lon2"))) / 1000).alias("km"))
+    # the opposite point of each first one
+    opposite = points.selectExpr("-c_custkey AS c_custkey", "lat1", "lon1", "-lat1 AS lat2", "lon1 + 180 AS lon2")
+    return points.unionByName(opposite).select("c_custkey", (geo.haversine_meters(*map(F.col, ("lat1", "lon1", "lat2", "lon2"))) / 1000).alias("km"))
 
 
 @query
@@ -338,7 +327,7 @@ def calendar_parts(spark, d):
 
 @query
 def trip_prefix(spark, d):
-    trips = A.stop_times(_items(spark, d)).select(
+    trips = A.stop_times(A.table(spark, d, "lineitem")).select(
         text.realtime_trip_id(F.col("trip_id")).alias("trip_id")
     ).distinct()
     return trips.select(
@@ -351,7 +340,7 @@ def trip_prefix(spark, d):
 
 @query
 def classify_observation(spark, d):
-    return ingest.classify_observations(A.observations(_events(spark, d)))
+    return ingest.classify_observations(A.observations(A.events(spark, d)))
 
 
 @query
@@ -410,15 +399,12 @@ def clean_weather_wide(spark, d):
 
 @query
 def join_weather(spark, d):
-    # Drop every fourth day of weather so that some days stay unmatched.
-    known = _weather(spark, d).where(F.dayofmonth("date") % 4 > 0)
-    return ridership.join_weather(_ridership(spark, d), known)
+    return ridership.join_weather(_ridership(spark, d), _weather(spark, d))
 
 
 @query
 def bridge_validate(spark, d):
-    known = _bridge(spark, d).where(F.col("station_complex_id").cast("int") % 3 > 0)
-    return ridership.validate_against_bridge(_ridership(spark, d), known)
+    return ridership.validate_against_bridge(_ridership(spark, d), _bridge(spark, d))
 
 
 @query
@@ -520,12 +506,12 @@ def enrich_vehicles(spark, d):
 
 @query
 def parse_trip_updates(spark, d):
-    return live.parse_trip_updates(A.trip_messages(_items(spark, d)))
+    return live.parse_trip_updates(A.trip_messages(A.table(spark, d, "lineitem"), malformed=True))
 
 
 @query
 def trip_delays(spark, d):
-    return _delays_of(A.trip_messages(_items(spark, d)), spark, d)
+    return _delays_of(A.trip_messages(A.table(spark, d, "lineitem")), spark, d)
 
 
 @query
@@ -535,7 +521,7 @@ def interval_join(spark, d):
 
 @query
 def sliding_delay_avg(spark, d):
-    rows = A.events(spark, d).where(F.col("event_type") == "error").select(
+    rows = A.events(spark, d).select(
         (F.col("user_id") % 20).cast("string").alias("station_complex_id"), "ts", "value"
     )
     return sliding_average(
@@ -559,7 +545,7 @@ def score_congestion(spark, d):
 @query
 def score_with_current_condition(spark, d):
     cells, maxima = _baseline(spark, d)
-    conditions = ingest.classify_observations(A.observations(_events(spark, d)))
+    conditions = ingest.classify_observations(A.observations(A.events(spark, d)))
     bucket = scores.current_bucket(conditions, as_of("2024-01-31 00:00:00")).select("weather_bucket")
     return scores.score(
         _signal(spark, d),
@@ -574,7 +560,7 @@ def score_with_current_condition(spark, d):
 
 @query
 def current_bucket(spark, d):
-    conditions = ingest.classify_observations(A.observations(_events(spark, d)))
+    conditions = ingest.classify_observations(A.observations(A.events(spark, d)))
     fresh = scores.current_bucket(conditions, as_of("2024-01-31 00:00:00")).select(
         F.lit("fresh").alias("state"), "scope", "weather_bucket"
     )
@@ -641,12 +627,8 @@ def route_list(spark, d):
 
 
 def _board(spark, d):
-    # Stations of every third complex have no live row and show the defaults.
     newest = serving.latest_per_station(_scored(spark, d))
-    return serving.station_status_board(
-        serving.station_directory(_bridge(spark, d)),
-        newest.where(F.col("station_complex_id").cast("int") % 3 > 0),
-    )
+    return serving.station_status_board(serving.station_directory(_bridge(spark, d)), newest)
 
 
 @query
@@ -699,7 +681,7 @@ def audit_vehicles(spark, d):
 
 @query
 def audit_delays(spark, d):
-    staged = _stored(spark, _delays_of(A.trip_messages(_items(spark, d)), spark, d), "delays")
+    staged = _stored(spark, _delays_of(A.trip_messages(A.table(spark, d, "lineitem")), spark, d), "delays")
     return quality.audit_delays(staged)
 
 
@@ -759,7 +741,7 @@ def _signal_stream(spark, d) -> str:
     """Run the whole speed path as streams and return the folder of the signal."""
     vehicles, delays = _staged(spark, d)
     out = scratch_path(spark, "signal")
-    with state_partitions(spark):
+    with state_partitions(spark, STATE_WIDTH):
         jobs.stage_delay_signal(
             spark, vehicles, delays, out, f"{out}-checkpoint", trigger=ONCE_THROUGH
         ).awaitTermination()
@@ -774,7 +756,7 @@ def stream_interval_join(spark, d):
         readers.file_stream(spark, delays, jobs.TRIP_DELAYS),
     )
     out = scratch_path(spark, "pairs")
-    with state_partitions(spark):
+    with state_partitions(spark, STATE_WIDTH):
         to_parquet(pairs, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
     return spark.read.schema(pairs.schema).parquet(out)
 
@@ -804,13 +786,13 @@ def stream_score_foreachbatch(spark, d):
         inserted_at=as_of(INSERTED_AT),
         trigger=ONCE_THROUGH,
     ).awaitTermination()
-    return writers.keyed_view(spark, out, ["station_complex_id", "event_timestamp"])
+    return writers.keyed_view(spark, out, SCORED, ["station_complex_id", "event_timestamp"])
 
 
 @query
 def stream_tumbling_count(spark, d):
     out = scratch_path(spark, "counts")
-    with state_partitions(spark):
+    with state_partitions(spark, STATE_WIDTH):
         counts = jobs.windowed_counts(A.events_stream(spark, d), "ts")
         jobs.keep_counts(counts, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
     return jobs.current_counts(spark, out).select(F.col("start").alias("window_start"), "msg_count")

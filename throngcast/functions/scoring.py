@@ -26,7 +26,7 @@ def service_deficit(
     saturation_secs: float = SERVICE_SATURATION_SECS,
 ) -> Column:
     if saturation_secs <= grace_secs:
-        raise ValueError("saturation_secs must be greater than grace_secs")
+        raise ValueError(f"delays saturate at {saturation_secs} s, which is not above the grace of {grace_secs} s")
     return clamp((delay_secs - F.lit(float(grace_secs))) / F.lit(float(saturation_secs - grace_secs)))
 
 

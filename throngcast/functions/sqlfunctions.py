@@ -6,6 +6,10 @@ from pyspark.sql import SparkSession
 
 from throngcast.functions import geo, scoring, weather
 
+_CHORD = (
+    "pow(sin(radians(lat2 - lat1) / 2), 2D) + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2D)"
+)
+
 SQL_FUNCTIONS = {
     "normalize_stop_id(v STRING) RETURNS STRING": (
         r"regexp_replace(regexp_replace(coalesce(v, ''), r'^\s+|\s+$', ''), r'[NS]$', '')"
@@ -14,8 +18,8 @@ SQL_FUNCTIONS = {
         r"trim(regexp_replace(replace(lower(coalesce(v, '')), '&', ' and '), r'[^a-z0-9]+', ' '))"
     ),
     "haversine_meters(lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE) RETURNS DOUBLE": (
-        f"{2 * geo.EARTH_RADIUS_M}D * asin(least(1D, sqrt(pow(sin(radians(lat2 - lat1) / 2), 2) "
-        "+ cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2))))"
+        f"CASE WHEN lat1 + lon1 + lat2 + lon2 IS NOT NULL THEN {2 * geo.EARTH_RADIUS_M}D "
+        f"* atan2(sqrt(least(1D, {_CHORD})), sqrt(1D - least(1D, {_CHORD}))) END"
     ),
     "classify_weather(prcp_in DOUBLE, snow_in DOUBLE) RETURNS STRING": (
         f"CASE WHEN snow_in > {weather.SNOW_THRESHOLD_IN}D THEN 'snow' "

@@ -11,7 +11,7 @@ from throngcast.functions.text import normalize_station_name, normalize_stop_id
 from throngcast.operators.dedupe import first_by_key
 from throngcast.operators.sets import missing_from, union_distinct
 from throngcast.operators.similarity import closest_name, nearest_within
-from throngcast.sources.columns import optional_column, required_column
+from throngcast.sources.columns import HeaderLookup
 
 # Tier names, default limits and accepted header names.
 DIRECT, BY_NAME, BY_PLACE, UNRESOLVED = "TIER1_DIRECT", "TIER2_NAME", "TIER3_GEO", "UNRESOLVED"
@@ -31,26 +31,28 @@ BRIDGE = ("gtfs_stop_id", "source_stop_id", *STATION, "match_tier", "match_dista
 
 def station_seed(stations: DataFrame) -> DataFrame:
     """One row per base stop id and complex."""
+    named = HeaderLookup(stations)
     seed = stations.select(
-        normalize_stop_id(required_column(stations, *STATION_STOP_NAMES).cast("string")).alias("gtfs_stop_id"),
-        required_column(stations, *STATION_COMPLEX_NAMES).cast("string").alias("station_complex_id"),
-        required_column(stations, *STATION_TITLE_NAMES).cast("string").alias("complex_name"),
-        required_column(stations, *STATION_LAT_NAMES).try_cast("double").alias("lat"),
-        required_column(stations, *STATION_LON_NAMES).try_cast("double").alias("lon"),
-        optional_column(stations, "string", "Borough").cast("string").alias("borough"),
-        optional_column(stations, "string", "Daytime Routes").cast("string").alias("daytime_routes"),
+        normalize_stop_id(named.need(*STATION_STOP_NAMES).cast("string")).alias("gtfs_stop_id"),
+        named.need(*STATION_COMPLEX_NAMES).cast("string").alias("station_complex_id"),
+        named.need(*STATION_TITLE_NAMES).cast("string").alias("complex_name"),
+        named.need(*STATION_LAT_NAMES).try_cast("double").alias("lat"),
+        named.need(*STATION_LON_NAMES).try_cast("double").alias("lon"),
+        named.want("string", "Borough").cast("string").alias("borough"),
+        named.want("string", "Daytime Routes").cast("string").alias("daytime_routes"),
     ).where(F.col("gtfs_stop_id") != "")
     return first_by_key(seed, ["gtfs_stop_id", "station_complex_id"])
 
 
 def base_stops(stops: DataFrame) -> DataFrame:
     """One row per base stop id, the smallest source id representing its platforms."""
+    named = HeaderLookup(stops)
     base = stops.select(
-        normalize_stop_id(required_column(stops, "stop_id").cast("string")).alias("gtfs_stop_id"),
-        required_column(stops, "stop_id").cast("string").alias("source_stop_id"),
-        required_column(stops, "stop_name").cast("string").alias("stop_name"),
-        required_column(stops, *STOP_LAT_NAMES).try_cast("double").alias("stop_lat"),
-        required_column(stops, *STOP_LON_NAMES).try_cast("double").alias("stop_lon"),
+        normalize_stop_id(named.need("stop_id").cast("string")).alias("gtfs_stop_id"),
+        named.need("stop_id").cast("string").alias("source_stop_id"),
+        named.need("stop_name").cast("string").alias("stop_name"),
+        named.need(*STOP_LAT_NAMES).try_cast("double").alias("stop_lat"),
+        named.need(*STOP_LON_NAMES).try_cast("double").alias("stop_lon"),
     ).where(F.col("gtfs_stop_id") != "")
     return first_by_key(base, ["gtfs_stop_id"], ["source_stop_id"])
 

@@ -9,7 +9,7 @@ from throngcast.functions.times import LOCAL_TIMEZONE, parse_timestamp
 from throngcast.functions.weather import DEFAULT_BUCKET
 from throngcast.operators.dedupe import first_by_key
 from throngcast.operators.sets import with_membership
-from throngcast.sources.columns import find_column, optional_column, required_column
+from throngcast.sources.columns import HeaderLookup
 
 # Accepted header names and the kept transit mode.
 TIMESTAMP_NAMES = ("transit_timestamp", "Transit Timestamp", "timestamp")
@@ -32,14 +32,15 @@ def with_calendar(df: DataFrame, timestamp: str, *, calendar_tz: str = "UTC") ->
 
 def typed_ridership(raw: DataFrame, *, source_timezone: str = LOCAL_TIMEZONE) -> DataFrame:
     """Rows of the kept mode with a station and entries >= 0; an unreadable time is null."""
-    if find_column(raw.columns, MODE_NAMES, required=False):
-        raw = raw.where(F.lower(required_column(raw, *MODE_NAMES)) == KEPT_MODE)
-    entries = F.replace(required_column(raw, *ENTRY_NAMES).cast("string"), F.lit(","), F.lit(""))
+    named = HeaderLookup(raw)
+    if MODE_NAMES in named:
+        raw = raw.where(F.lower(named.need(*MODE_NAMES)) == KEPT_MODE)
+    entries = F.replace(named.need(*ENTRY_NAMES).cast("string"), F.lit(","), F.lit(""))
     typed = raw.select(
-        required_column(raw, *STATION_NAMES).cast("string").alias("station_complex_id"),
-        optional_column(raw, "string", *COMPLEX_NAMES).cast("string").alias("station_complex_name"),
+        named.need(*STATION_NAMES).cast("string").alias("station_complex_id"),
+        named.want("string", *COMPLEX_NAMES).cast("string").alias("station_complex_name"),
         F.to_utc_timestamp(
-            parse_timestamp(required_column(raw, *TIMESTAMP_NAMES).cast("string")), source_timezone
+            parse_timestamp(named.need(*TIMESTAMP_NAMES).cast("string")), source_timezone
         ).alias("transit_timestamp"),
         entries.try_cast("double").alias("entries"),
     )

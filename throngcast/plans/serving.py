@@ -37,12 +37,8 @@ def alerts(scored: DataFrame) -> DataFrame:
 
 
 def station_current(scored: DataFrame, station: str) -> DataFrame:
-    """Newest row of one station."""
-    return (
-        scored.where(F.col("station_complex_id") == station)
-        .orderBy(*[F.desc(name) for name in RECENCY])
-        .limit(1)
-    )
+    """Newest row of one station, ties broken by all columns."""
+    return latest_per_station(scored.where(F.col("station_complex_id") == station))
 
 
 def station_history(scored: DataFrame, station: str, as_of: Column, *, hours: int = 24) -> DataFrame:
@@ -53,7 +49,7 @@ def station_history(scored: DataFrame, station: str, as_of: Column, *, hours: in
     return (
         scored.where((F.col("station_complex_id") == station) & (F.col("inserted_at") >= since))
         .select(*HISTORY_COLUMNS)
-        .orderBy("event_timestamp")
+        .orderBy(*HISTORY_COLUMNS)
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from throngcast.functions.weather import scaled_or_zero, weather_bucket
 from throngcast.operators.history import forward_fill
-from throngcast.sources.columns import find_column, optional_column, required_column
+from throngcast.sources.columns import HeaderLookup
 
 # Measure names and accepted header names.
 MEASURES = ("PRCP", "SNOW", "TMAX", "TMIN")
@@ -24,10 +24,11 @@ def _per_measure(aggregate, kind: str, value: str, measures: Sequence[str]):
 
 def long_reports(raw: DataFrame) -> DataFrame:
     """Typed (date, datatype, value) rows of a long report."""
+    named = HeaderLookup(raw)
     return raw.select(
-        F.try_to_date(required_column(raw, *DATE_NAMES).cast("string")).alias("date"),
-        F.upper(required_column(raw, *KIND_NAMES)).alias("datatype"),
-        required_column(raw, *VALUE_NAMES).try_cast("double").alias("value"),
+        F.try_to_date(named.need(*DATE_NAMES).cast("string")).alias("date"),
+        F.upper(named.need(*KIND_NAMES)).alias("datatype"),
+        named.need(*VALUE_NAMES).try_cast("double").alias("value"),
     )
 
 
@@ -41,9 +42,10 @@ def pivot_measures(reports: DataFrame, measures: Sequence[str] = MEASURES) -> Da
 
 def wide_reports(raw: DataFrame) -> DataFrame:
     """Typed wide rows; measures the file lacks are null."""
+    named = HeaderLookup(raw)
     return raw.select(
-        F.try_to_date(required_column(raw, *DATE_NAMES).cast("string")).alias("date"),
-        *[optional_column(raw, "double", name).try_cast("double").alias(name) for name in MEASURES],
+        F.try_to_date(named.need(*DATE_NAMES).cast("string")).alias("date"),
+        *[named.want("double", name).try_cast("double").alias(name) for name in MEASURES],
     )
 
 
@@ -65,7 +67,8 @@ def merge_station_reports(reports: DataFrame) -> DataFrame:
 
 
 def is_long(raw: DataFrame) -> bool:
-    return all(find_column(raw.columns, names, required=False) for names in (KIND_NAMES, VALUE_NAMES))
+    named = HeaderLookup(raw)
+    return KIND_NAMES in named and VALUE_NAMES in named
 
 
 def clean_weather(raw: DataFrame, *, prcp_scale: float = 1.0, snow_scale: float = 1.0) -> DataFrame:

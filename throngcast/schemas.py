@@ -93,6 +93,7 @@ STATION_MAX = struct(station_complex_id=STRING, max_hourly_entries=DOUBLE)
 CURRENT_CONDITION = struct(
     scope=STRING, weather_bucket=STRING, prcp_in=DOUBLE, snow_in=DOUBLE, tmax_f=DOUBLE, updated_at=TIMESTAMP
 )
+WINDOW_COUNT = struct(start=TIMESTAMP, end=TIMESTAMP, msg_count=BIGINT)
 SCORED = struct(
     station_complex_id=STRING,
     complex_name=STRING,

@@ -17,11 +17,7 @@ SESSION_DEFAULTS = {
     # adaptive run finds it below the threshold. File sizes are compressed sizes, so
     # they are scaled before that check.
     "spark.sql.sources.fileCompressionFactor": "3.0",
-}
-
-# On a cluster stream state lives off the heap, spills to local disk and is logged to
-# the checkpoint. One process serving all partitions is better off with state in memory.
-CLUSTER_DEFAULTS = {
+    # Stream state lives off the heap, spills to local disk and is logged to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -31,8 +27,7 @@ CLUSTER_DEFAULTS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime defaults to an existing session and return it."""
-    local = spark.sparkContext.master.startswith("local")
-    for key, value in {**SESSION_DEFAULTS, **({} if local else CLUSTER_DEFAULTS)}.items():
+    for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

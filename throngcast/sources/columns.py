@@ -9,28 +9,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def normalize_column_name(name: str) -> str:
-    return re.sub(r"[\W_]+", "_", name.lower(), flags=re.ASCII).strip("_")
-
-
-def find_column(columns: Sequence[str], candidates: Iterable[str], *, required: bool = True) -> str | None:
-    """Actual name of the first candidate present, ignoring case and punctuation."""
-    wanted = [normalize_column_name(name) for name in candidates]
-    present = {normalize_column_name(name): name for name in columns}
-    match = next((present[name] for name in wanted if name in present), None)
-    if match is None and required:
-        raise ValueError(f"none of {wanted} among columns {list(columns)}")
-    return match
-
-
-def required_column(df: DataFrame, *candidates: str) -> Column:
-    return F.col(f"`{find_column(df.columns, candidates)}`")
-
-
-def optional_column(df: DataFrame, dtype: str, *candidates: str) -> Column:
-    """The column when present, else a typed null."""
-    name = find_column(df.columns, candidates, required=False)
-    return F.lit(None).cast(dtype) if name is None else F.col(f"`{name}`")
+class HeaderLookup:
+    """Columns of one raw frame by the words of their names.
+
+    Two names mean the same column when they have the same words in the same order; a word is a
+    run of ASCII letters and digits, in any case. Of several such columns the last one counts.
+    The lookup is built once per frame and asked for accepted spellings in order of preference.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.columns = list(df.columns)
+        self._by_words = {_words(name): name for name in self.columns}
+
+    def first_of(self, *accepted: str) -> str | None:
+        for name in accepted:
+            if found := self._by_words.get(_words(name)):
+                return found
+        return None
+
+    def __contains__(self, accepted: str | Sequence[str]) -> bool:
+        return self.first_of(*([accepted] if isinstance(accepted, str) else accepted)) is not None
+
+    def need(self, *accepted: str) -> Column:
+        """The first accepted column; none of them is an error that names both sides."""
+        found = self.first_of(*accepted)
+        if found is None:
+            raise ValueError(f"no column is called {' or '.join(accepted)}; the file has {', '.join(self.columns)}")
+        return F.col(f"`{found}`")
+
+    def want(self, dtype: str, *accepted: str) -> Column:
+        """The first accepted column, or a typed null."""
+        found = self.first_of(*accepted)
+        return F.col(f"`{found}`") if found else F.lit(None).cast(dtype)
+
+
+def _words(name: str) -> tuple[str, ...]:
+    return tuple(re.findall("[a-z0-9]+", name.lower()))
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], label: str) -> None:

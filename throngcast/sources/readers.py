@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from throngcast.sources.writers import BATCH_COLUMN, snapshot_ids
+
 
 def read_csv_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All-string CSV files with headers, united by column name.
@@ -26,24 +28,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def has_few_splits(df: DataFrame) -> bool:
-    """Whether a scan has fewer splits than the session has cores."""
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash rows over all cores.
-
-    Meant for scans with few splits that feed costly parsing: one small file is one
-    split and would keep the other cores idle.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
 def read_keyed_store(spark: SparkSession, table: str, *, fmt: str = "parquet", **options: str) -> DataFrame:
     """A keyed table through its connector, or the Parquet table standing in for it."""
     if fmt == "parquet":
-        return spark.read.parquet(table)
+        ids = snapshot_ids(spark, table)
+        return spark.read.parquet(f"{table}/{BATCH_COLUMN}={ids[-1]}" if ids else table)
     return spark.read.format(fmt).options(table=table, **options).load()
 
 
@@ -62,9 +51,10 @@ def kafka_options(
     topic: str,
     *,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = 5000,
+    max_offsets_per_trigger: int | None = None,
     group_prefix: str | None = None,
 ) -> dict[str, str]:
+    """Options of the message source; ``max_offsets_per_trigger`` bounds a trigger where it is given."""
     options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from throngcast.operators.dedupe import latest_by_key
 
@@ -23,10 +24,24 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", partitio
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_keyed_store(df: DataFrame, table: str, *, fmt: str = "parquet", mode: str = "append", **options: str) -> None:
-    """Keyed table through its connector; overwriting confirms the truncation."""
+def write_keyed_store(
+    df: DataFrame, table: str, *, fmt: str = "parquet", mode: str = "append", keys: Sequence[str] = (), **options: str
+) -> None:
+    """Keyed table through its connector; overwriting confirms the truncation.
+
+    The Parquet table standing in for it keeps one row per key where ``keys`` are given:
+    appended rows replace stored ones with their key.
+    """
     if fmt == "parquet":
-        write_parquet(df, table, mode=mode)
+        if keys and mode == "append":
+            spark = df.sparkSession
+            ids = snapshot_ids(spark, table)
+            merge_batch(df, ids[-1] + 1 if ids else 0, table, keys)
+        elif keys:
+            ids = snapshot_ids(df.sparkSession, table)
+            append_batch(df, ids[-1] + 1 if ids else 0, table)
+        else:
+            write_parquet(df, table, mode=mode)
         return
     if mode == "overwrite":
         options = {"confirm.truncate": "true", **options}
@@ -72,22 +87,91 @@ def write_documents(df: DataFrame, sink: str, *, path: str | None = None, **opti
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch into its own partition; a retry replaces it."""
-    (
-        df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(path)
-    )
+    """Write one micro-batch as its own partition of ``path``.
+
+    The partition's folder is overwritten as a whole, so a retry replaces all rows of the
+    first attempt, also by none.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH_COLUMN}={int(batch_id)}")
 
 
-def keyed_view(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+def batch_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The batches below ``path`` with ``BATCH_COLUMN``; empty before the first one, and where all are empty."""
+    full = T.StructType([*schema.fields, T.StructField(BATCH_COLUMN, T.LongType())])
+    if not _exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def keyed_view(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
     """Latest row per key of a table written by ``append_batch``."""
-    stored = spark.read.parquet(path)
+    stored = batch_table(spark, path, schema)
     return latest_by_key(stored, keys, [*order_by, BATCH_COLUMN]).drop(BATCH_COLUMN)
 
 
+def merge_batch(
+    df: DataFrame, batch_id: int, path: str, keys: Sequence[str], order_by: Sequence[str] = (), *, keep: int = 3
+) -> DataFrame:
+    """Fold a micro-batch into the newest earlier snapshot and write the result as its own.
+
+    Each snapshot holds the latest row per key, so a reader or the next batch needs only the
+    newest one, however long the stream has run; older ones than ``keep`` are deleted. Returns
+    the snapshot before the batch. A retried batch starts from the same earlier snapshot.
+    """
+    spark = df.sparkSession
+    earlier = [n for n in snapshot_ids(spark, path) if n < batch_id]
+    before = read_snapshot(spark, path, df.schema, earlier[-1] if earlier else None)
+    newest = latest_by_key(before.withColumn("_n", F.lit(0)).unionByName(df.withColumn("_n", F.lit(1))), keys, [*order_by, "_n"])
+    append_batch(newest.drop("_n"), batch_id, path)
+    for old in earlier[: max(0, len(earlier) + 1 - keep)]:
+        _delete(spark, f"{path}/{BATCH_COLUMN}={old}")
+    return before
+
+
+def snapshot_ids(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete batches below ``path``, in order: as many names as batches are kept."""
+    if not _exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(target)]
+    ids = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BATCH_COLUMN}="))
+    return [n for n in ids if _exists(spark, f"{path}/{BATCH_COLUMN}={n}/_SUCCESS")]
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
+    """The snapshot of a batch, by default the newest; empty where there is none."""
+    ids = snapshot_ids(spark, path) if batch_id is None else [batch_id]
+    if not ids:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH_COLUMN}={ids[-1]}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def expire(spark: SparkSession, path: str, schema: T.StructType, as_of: Column, *, column: str = "inserted_at", hours: int = 24) -> int:
+    """Delete the batches of a micro-batch table all rows of which have expired; returns how many.
+
+    A batch with a row still valid stays whole and is filtered by ``within_retention`` when read.
+    """
+    fresh = within_retention(batch_table(spark, path, schema), as_of, column=column, hours=hours)
+    kept = {row[BATCH_COLUMN] for row in fresh.select(BATCH_COLUMN).distinct().collect()}  # one row per live batch
+    old = [n for n in snapshot_ids(spark, path) if n not in kept]
+    for batch_id in old:
+        _delete(spark, f"{path}/{BATCH_COLUMN}={batch_id}")
+    return len(old)
+
+
 def within_retention(df: DataFrame, as_of: Column, *, column: str = "inserted_at", hours: int = 24) -> DataFrame:
     """Rows that have not expired at the as-of time."""
     return df.where(F.col(column) >= as_of - F.expr(f"INTERVAL {int(hours)} HOURS"))

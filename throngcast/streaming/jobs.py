@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from throngcast.operators.dedupe import latest_by_key
 from throngcast.plans.live import enrich_vehicles, parse_trip_updates, parse_vehicles, trip_delays
-from throngcast.plans.scoring import score
-from throngcast.plans.serving import latest_per_station, newly_severe
+from throngcast.plans.scoring import current_bucket, score
+from throngcast.plans.serving import RECENCY, latest_per_station, newly_severe
 from throngcast.plans.signal import delay_signal_stream
-from throngcast.schemas import DELAY_SIGNAL, SCORED, TRIP_DELAYS, VEHICLE_POSITIONS
+from throngcast.schemas import CURRENT_CONDITION, DELAY_SIGNAL, SCORED, TRIP_DELAYS, VEHICLE_POSITIONS, WINDOW_COUNT
 from throngcast.sources.readers import file_stream
-from throngcast.sources.writers import append_batch, keyed_view
+from throngcast.sources.writers import append_batch, merge_batch, read_snapshot, write_documents
 from throngcast.streaming.runner import EVERY_30_SECONDS, for_each_batch, to_parquet
 
 
@@ -63,14 +62,19 @@ def stage_delay_signal(
 def score_signal(
     signal: DataFrame,
     load_views: Callable[[SparkSession], tuple[DataFrame, DataFrame, DataFrame]],
-    path: str,
+    path: str | None,
     checkpoint: str,
     *,
     weather_bucket: Callable[[SparkSession], str | Column],
     inserted_at: Column | None = None,
+    sink: str = "parquet",
     trigger: dict = EVERY_30_SECONDS,
+    **options: str,
 ) -> StreamingQuery:
-    """Score every micro-batch of the signal into its own partition of ``path``.
+    """Score every micro-batch of the signal into a sink.
+
+    The Parquet sink gives each batch its own partition of ``path``, which a retry replaces. A
+    document store appends under its ``options``, and the console shows the rows.
 
     Baseline, maxima and bridge are loaded per batch, so a rebuilt table is picked
     up by the next trigger, and the plan inside a batch is adaptive.
@@ -87,7 +91,10 @@ def score_signal(
             weather_bucket=weather_bucket(session),
             inserted_at=inserted_at,
         )
-        append_batch(scored, batch_id, path)
+        if sink == "parquet":
+            append_batch(scored, batch_id, path)
+        else:
+            write_documents(scored, sink, **options)
 
     return for_each_batch(signal, handle, checkpoint, trigger=trigger)
 
@@ -98,13 +105,22 @@ def upsert_conditions(
     """Keep the newest condition per scope; read it back with ``current_conditions``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        append_batch(latest_by_key(batch, ["scope"], ["updated_at"]), batch_id, path)
+        merge_batch(batch, batch_id, path, ["scope"], ["updated_at"])
 
     return for_each_batch(conditions, handle, checkpoint, trigger=trigger)
 
 
 def current_conditions(spark: SparkSession, path: str) -> DataFrame:
-    return keyed_view(spark, path, ["scope"], ["updated_at"])
+    return read_snapshot(spark, path, CURRENT_CONDITION)
+
+
+def stored_condition(path: str, as_of: Column, **choice: str) -> Callable[[SparkSession], Column]:
+    """The weather bucket for ``score_signal`` from the table that ``upsert_conditions`` keeps."""
+
+    def load(spark: SparkSession) -> Column:
+        return current_bucket(current_conditions(spark, path), as_of, **choice).select("weather_bucket").scalar()
+
+    return load
 
 
 def windowed_counts(df: DataFrame, time: str, *, width: str = "10 seconds", lateness: str = "30 seconds") -> DataFrame:
@@ -121,13 +137,13 @@ def keep_counts(counts: DataFrame, path: str, checkpoint: str, *, trigger: dict
     """Maintain updated window counts; read them back with ``current_counts``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, batch_id, path)
+        merge_batch(batch, batch_id, path, ["start", "end"])
 
     return for_each_batch(counts, handle, checkpoint, output_mode="update", trigger=trigger)
 
 
 def current_counts(spark: SparkSession, path: str) -> DataFrame:
-    return keyed_view(spark, path, ["start", "end"])
+    return read_snapshot(spark, path, WINDOW_COUNT)
 
 
 def watch_escalations(
@@ -135,16 +151,14 @@ def watch_escalations(
 ) -> StreamingQuery:
     """Stations that turned SEVERE since the snapshot of the batch before.
 
-    The snapshot is one row per station, kept as batches below ``state``; a retried
-    batch reads only snapshots of earlier batches.
+    The snapshot below ``state`` is one row per station, and a batch reads only the one before
+    it: a trigger costs as much after a year as at the start.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        newest = latest_per_station(batch)
-        append_batch(newest, batch_id, state)
-        earlier = session.read.parquet(state).where(F.col("batch_id") < batch_id).drop("batch_id")
-        current = latest_per_station(earlier.unionByName(newest))
-        append_batch(newly_severe(latest_per_station(earlier), current), batch_id, path)
+        before = merge_batch(latest_per_station(batch), batch_id, state, ["station_complex_id"], RECENCY)
+        current = read_snapshot(session, state, batch.schema, batch_id)
+        append_batch(newly_severe(before, current), batch_id, path)
 
     return for_each_batch(scored, handle, checkpoint, trigger=trigger)

@@ -63,11 +63,12 @@ def to_console(df: DataFrame, checkpoint: str, *, trigger: dict = EVERY_30_SECON
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
-    """Shuffle width of stateful queries started inside; it is fixed by their first run."""
+def state_partitions(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Shuffle width of stateful queries started inside; their first run fixes it for good, so it
+    is chosen for the feed and not taken from the cores at hand."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(partitions))
     try:
         yield
     finally:
