@@ -43,10 +43,12 @@ RATE = 32
 DOCS_PER_TRAINER = 400
 ROUNDS = 2
 STREAMS, WINDOW = 32, 16
-STEP = 0.08
+STEP = 0.2
 #: Documents scored side by side, and steps per window when scoring.
 ABREAST, SCORED_WINDOW = 512, 32
 SLICES = 16
+#: Scores before a softmax are kept within these, so that it needs no maximum per row.
+LARGEST = 40.0
 
 _COUNTED = pa.schema([("shard", pa.int64()), ("words", pa.binary()), ("blob", pa.binary())])
 
@@ -201,10 +203,9 @@ class Network:
         """Log probability of each target slot after its state, and the gradient for the state."""
         cls, within = targets % CLASSES, targets // CLASSES
         rows = np.arange(len(targets))
-        logits = h @ self.p["cw"] + self.p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = np.clip(h @ self.p["cw"] + self.p["cb"], -LARGEST, LARGEST)
         e = np.exp(logits)
-        total = e.sum(axis=1)
+        total = e @ np.ones(CLASSES, e.dtype)
         log = logits[rows, cls] - np.log(total)
         dh = None
         if grads is not None:
@@ -217,10 +218,9 @@ class Network:
         cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(cuts)):
             at = order[cuts[c] : cuts[c + 1]]
-            own = h[at] @ self.p["sw"][c] + self.p["sb"][c]
-            own -= own.max(axis=1, keepdims=True)
+            own = np.clip(h[at] @ self.p["sw"][c] + self.p["sb"][c], -LARGEST, LARGEST)
             e = np.exp(own)
-            total = e.sum(axis=1)
+            total = e @ np.ones(PER_CLASS, e.dtype)
             k = np.arange(len(at))
             log[at] += own[k, within[at]] - np.log(total)
             if grads is not None:
