@@ -42,3 +42,24 @@ def test_batch_layer_from_files(spark, tmp_path):
 
     times = file("stop_times.csv", "trip_id,stop_id,arrival_time", "S_1_A..N01,x,00:00:05", "S_1_A..N01,x,00:00:04", "S_1_A..N02,x,25:00:00")
     assert batch.schedule_job(spark, times, path("full"), path("prefix")) == {"full_rows": 2, "prefix_rows": 1}
+
+
+def test_reports_from_staged_tables(spark, rows, tmp_path):
+    vehicles, delays, out = (str(tmp_path / n) for n in ("vehicles", "delays", "out"))
+    rows("station_complex_id string, route_id string, event_timestamp timestamp", ("1", "A", None), ("1", None, None), (None, "A", None)).write.parquet(vehicles)
+    rows("trip_id string, stop_id string, arrival_delay_secs int, event_timestamp timestamp, delay_source string",
+         ("t", "s", 30, None, "native"), ("t", "u", 90, None, "computed")).write.parquet(delays)
+    assert batch.audit_job(spark, vehicles, delays, out) == {"reports": 4}
+    audit = spark.read.json(f"{out}/vehicles").first()
+    assert (audit.rows, audit.distinct_stations, audit.distinct_routes) == (3, 1, 1)
+    assert spark.read.json(f"{out}/delays").first().distinct_stops == 2
+    assert batch.calibration_job(spark, delays, f"{out}/calibration")["rows"] == spark.read.parquet(f"{out}/calibration").count()
+
+    (tmp_path / "events.csv").write_text(
+        "event_name,station_complex_id,avg_arrival_delay_secs,avg_entries,max_hourly_entries,expected_level\n"
+        "late,1,600,90,100,SEVERE\ncalm,1,0,90,100,NORMAL\n"
+    )
+    files = [str(tmp_path / "events.csv")]
+    assert batch.backtest_job(spark, files, f"{out}/backtest")["rows"] == spark.read.parquet(f"{out}/backtest").count()
+    assert batch.profile_job(spark, files, f"{out}/profile", rows=1)["rows"] == 6
+    assert spark.read.json(f"{out}/profile/sample").count() == 1

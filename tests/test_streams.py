@@ -182,12 +182,7 @@ def test_scratch_stays_below_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_scratch_without_the_setting():
-    def session(master):
-        context = SimpleNamespace(master=master, applicationId="app")
-        return SimpleNamespace(conf={}, sparkContext=context)
-
-    first, second = (scratch_path(session("local[2]"), "x") for _ in range(2))
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    with pytest.raises(RuntimeError, match="checkpoint"):
-        scratch_path(session("spark://host:7077"), "x")
+def test_scratch_without_the_setting_lies_in_the_warehouse():
+    session = SimpleNamespace(conf={"spark.sql.warehouse.dir": "store://shared/warehouse/"})
+    first, second = (scratch_path(session, "x") for _ in range(2))
+    assert first != second and first.startswith("store://shared/warehouse/throngcast/x-")

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from throngcast.functions.times import LOCAL_TIMEZONE
-from throngcast.plans import baseline, ridership, schedule, weather
+from throngcast.operators.profile import profile_columns, sample_rows
+from throngcast.plans import baseline, quality, ridership, schedule, weather
 from throngcast.plans.bridge import build_bridge
 from throngcast.sources.readers import read_csv_files, read_table
 from throngcast.sources.writers import with_row_count, write_parquet, write_table
@@ -93,3 +94,34 @@ def schedule_job(spark: SparkSession, stop_times: Sequence[str], full: str, pref
     by_trip = _written(schedule.unique_schedule(arrivals), full)
     by_prefix = _written(schedule.schedule_by_prefix(arrivals), prefix)
     return {"full_rows": by_trip["rows"], "prefix_rows": by_prefix["rows"]}
+
+
+def audit_job(spark: SparkSession, vehicles: str, delays: str, output: str) -> dict[str, int]:
+    """Audits of both staged tables and the skew of the vehicles, one JSON line each."""
+    staged = {"vehicles": read_table(spark, vehicles), "delays": read_table(spark, delays)}
+    reports = {
+        "vehicles": quality.audit_vehicles(staged["vehicles"]),
+        "delays": quality.audit_delays(staged["delays"]),
+        "skew": quality.skew_ratio(staged["vehicles"]),
+        "top_stations": quality.top_stations(staged["vehicles"]),
+    }
+    for name, report in reports.items():
+        report.write.mode("overwrite").json(f"{output}/{name}")
+    return {"reports": len(reports)}
+
+
+def calibration_job(spark: SparkSession, delays: str, output: str) -> dict[str, int]:
+    """Delay quantiles and the grace and saturation they suggest, from staged delays."""
+    return _written(quality.calibrate_service(read_table(spark, delays)), output)
+
+
+def backtest_job(spark: SparkSession, events: Sequence[str], output: str) -> dict[str, int]:
+    """Labelled events scored with the current thresholds, with the number that agree."""
+    return _written(quality.backtest_thresholds(read_csv_files(spark, events)), output)
+
+
+def profile_job(spark: SparkSession, inputs: Sequence[str], output: str, *, rows: int = 5) -> dict[str, int]:
+    """Fill and range per column of raw files, and a few sample rows beside it."""
+    raw = read_csv_files(spark, inputs)
+    sample_rows(raw, rows, raw.columns).write.mode("overwrite").json(f"{output}/sample")
+    return _written(profile_columns(raw), f"{output}/columns")

@@ -299,6 +299,8 @@ _SELECTS: dict[str, str] = {
     # sources and sinks
     "scan_partitioned": "SELECT event_date, count(*) AS rows, count(station_complex_id) AS resolved_rows FROM vehicles "
     "WHERE event_date >= DATE '2024-01-10' GROUP BY event_date",
+    "scan_csv_union": "SELECT c_custkey::VARCHAR AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment, "
+    "CASE WHEN c_custkey % 2 = 1 THEN c_nationkey::VARCHAR END AS c_nationkey FROM customer",
     "sink_partitioned_roundtrip": f"SELECT * REPLACE ({_r('entries')}) FROM ridership_clean",
     "baseline_bulk_load": f"SELECT {BASELINE_COLUMNS} FROM baseline",
     "incremental_extract": f"SELECT ts, event_id, user_id, {_r('value')} FROM events WHERE ts >= TIMESTAMP '2024-01-15' "
@@ -409,6 +411,8 @@ _SELECTS: dict[str, str] = {
     "bridge_tier3_geo": f"SELECT {BRIDGE_COLUMNS} FROM tier3",
     "bridge_unresolved": f"SELECT {BRIDGE_COLUMNS} FROM unresolved",
     "matched_keys": "SELECT gtfs_stop_id FROM matched",
+    "stop_keys_union": "SELECT gtfs_stop_id FROM stops UNION SELECT gtfs_stop_id FROM seed",
+    "stop_keys_unlisted": "SELECT gtfs_stop_id, stop_name FROM unmatched",
     "bridge_tiered": f"SELECT {BRIDGE_COLUMNS} FROM tiers",
     "bridge_summary": """
         SELECT count(*) AS total_stops, count(*) FILTER (match_tier = 'TIER1_DIRECT') AS tier1_direct,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from throngcast.catalog import adapters as A
 from throngcast.functions import geo, scoring, text, times, weather
+from throngcast.operators import sets
 from throngcast.operators.dedupe import first_by_key
 from throngcast.operators.history import forward_fill
 from throngcast.operators.profile import profile_columns, sample_rows
@@ -148,6 +149,17 @@ def scan_partitioned(spark, d):
     )
 
 
+@query
+def scan_csv_union(spark, d):
+    """CSV files with different headers, written from the customers and united by name."""
+    source, folder = A.table(spark, d, "customer"), scratch_path(spark, "csv")
+    low = source.where("c_custkey % 2 = 0").select("c_custkey", "c_name", "c_mktsegment")
+    high = source.where("c_custkey % 2 = 1").select("c_nationkey", "c_custkey", "c_name")
+    for name, part in (("low", low), ("high", high)):
+        part.write.csv(f"{folder}/{name}", header=True)
+    return readers.read_csv_files(spark, [f"{folder}/low", f"{folder}/high"])
+
+
 @query
 def sink_partitioned_roundtrip(spark, d):
     path = scratch_path(spark, "ridership")
@@ -466,6 +478,20 @@ def matched_keys(spark, d):
     return _cascade(spark, d).matched_keys()
 
 
+@query
+def stop_keys_union(spark, d):
+    """Keys of stops and of listed stations, once each."""
+    cascade = _cascade(spark, d)
+    return sets.union_distinct(cascade.stops.select("gtfs_stop_id"), cascade.seed.select("gtfs_stop_id"))
+
+
+@query
+def stop_keys_unlisted(spark, d):
+    """Stops that no station lists."""
+    cascade = _cascade(spark, d)
+    return sets.missing_from(cascade.stops.select("gtfs_stop_id", "stop_name"), cascade.seed, ["gtfs_stop_id"])
+
+
 @query
 def bridge_tiered(spark, d):
     return _cascade(spark, d).table()

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from throngcast.functions.text import normalize_station_name, normalize_stop_id
 from throngcast.operators.dedupe import first_by_key
-from throngcast.operators.sets import missing_from, union_distinct
 from throngcast.operators.similarity import closest_name, nearest_within
 from throngcast.sources.columns import HeaderLookup
 
@@ -61,9 +60,9 @@ def base_stops(stops: DataFrame) -> DataFrame:
 class Bridge:
     """The matching cascade over one set of stations and stops.
 
-    Every tier is available on its own. ``table`` composes them without the
-    per-tier anti-joins and unions: each stop is looked up directly, by distinct
-    name and by distinct place, and takes the first tier that answered.
+    ``table`` looks each stop up directly, by distinct name and by distinct place, and gives
+    it the first tier that answered, in one pass. The later tiers are read off that table;
+    the first two can be had without the lookups behind them.
     """
 
     seed: DataFrame
@@ -159,17 +158,15 @@ class Bridge:
 
     def by_place(self) -> DataFrame:
         """Stops left over by name with a station inside the radius."""
-        left = missing_from(self.unmatched(), self.by_name(), ["gtfs_stop_id"])
-        found = left.join(self._place_matches(left), ["stop_lat", "stop_lon"])
-        return self._rows(found, self._station("by_place."), F.lit(BY_PLACE), F.col("place_distance"))
+        return self.table().where(F.col("match_tier") == BY_PLACE)
 
     def matched_keys(self) -> DataFrame:
-        return union_distinct(*[tier.select("gtfs_stop_id") for tier in (self.direct(), self.by_name(), self.by_place())])
+        """Stops that any tier answered, once each."""
+        return self.table().where(F.col("match_tier") != UNRESOLVED).select("gtfs_stop_id").distinct()
 
     def unresolved(self) -> DataFrame:
         """Stops no tier answered, described by their own name and place."""
-        left = missing_from(self.unmatched(), self.matched_keys(), ["gtfs_stop_id"])
-        return self._rows(left, self._stop_as_station(), F.lit(UNRESOLVED), F.lit(None))
+        return self.table().where(F.col("match_tier") == UNRESOLVED)
 
     def table(self) -> DataFrame:
         """Every stop with its complex, tier and distance."""

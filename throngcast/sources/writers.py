@@ -160,16 +160,19 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def expire(spark: SparkSession, path: str, schema: T.StructType, as_of: Column, *, column: str = "inserted_at", hours: int = 24) -> int:
-    """Delete the batches of a micro-batch table all rows of which have expired; returns how many.
+    """Delete the oldest batches of a micro-batch table whose rows have all expired; returns how many.
 
-    A batch with a row still valid stays whole and is filtered by ``within_retention`` when read.
+    Batches are tested from the oldest on, up to the first with a row still valid. That one stays
+    whole and is filtered by ``within_retention`` when read.
     """
-    fresh = within_retention(batch_table(spark, path, schema), as_of, column=column, hours=hours)
-    kept = {row[BATCH_COLUMN] for row in fresh.select(BATCH_COLUMN).distinct().collect()}  # one row per live batch
-    old = [n for n in snapshot_ids(spark, path) if n not in kept]
-    for batch_id in old:
+    gone = 0
+    for batch_id in snapshot_ids(spark, path):
+        rows = read_snapshot(spark, path, schema, batch_id)
+        if not within_retention(rows, as_of, column=column, hours=hours).isEmpty():
+            break
         _delete(spark, f"{path}/{BATCH_COLUMN}={batch_id}")
-    return len(old)
+        gone += 1
+    return gone
 
 
 def within_retention(df: DataFrame, as_of: Column, *, column: str = "inserted_at", hours: int = 24) -> DataFrame:
