@@ -42,8 +42,8 @@ ANCHOR = 6
 STRETCH = 16
 #: Words handled at once inside a block.
 CHUNK_WORDS = 1 << 19
-#: Blocks and shards for each shuffle partition.
-PER_PARTITION = 4
+#: Shards for each shuffle partition; there is one block of documents for each.
+SHARDS_PER_PARTITION = 4
 
 _SENT = pa.schema([("shard", pa.int64()), ("blob", pa.binary())])
 _ANSWER = pa.schema([("block", pa.int64()), ("blob", pa.binary())])
@@ -330,16 +330,18 @@ def dedup(docs: DataFrame, words: int = WINDOW) -> DataFrame:
     """Every document with its kept words: ``KEPT``."""
     if not ANCHOR < words <= FMIndex.DEPTH:
         raise ValueError(f"windows of {ANCHOR + 1} to {FMIndex.DEPTH} words are supported")
-    parts = PER_PARTITION * shuffle_width(docs.sparkSession) | 1
+    width = shuffle_width(docs.sparkSession)
+    # odd numbers, so that ids with a common factor are still spread
+    blocks, shards = width | 1, SHARDS_PER_PARTITION * width | 1
     documents = doc_frame(docs)
     rows = documents.where(F.col("doc_id").isNotNull())
     # the documents are dealt by block once; both co-groupings read the same exchange
-    blocked = rows.withColumn("block", F.pmod(F.col("doc_id"), F.lit(parts)))
-    sent = rows.mapInArrow(_send_minimisers(parts, words), "shard long, blob binary")
-    shared = sent.groupBy("shard").applyInArrow(_shared(parts), "block long, blob binary")
+    blocked = rows.withColumn("block", F.pmod(F.col("doc_id"), F.lit(blocks)))
+    sent = rows.mapInArrow(_send_minimisers(shards, words), "shard long, blob binary")
+    shared = sent.groupBy("shard").applyInArrow(_shared(blocks), "block long, blob binary")
     stretches = blocked.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        _send_stretches(parts, words), "shard long, blob binary"
+        _send_stretches(shards, words), "shard long, blob binary"
     )
-    covered = stretches.groupBy("shard").applyInArrow(_search(parts, words), "block long, blob binary")
+    covered = stretches.groupBy("shard").applyInArrow(_search(blocks, words), "block long, blob binary")
     kept = blocked.groupBy("block").cogroup(covered.groupBy("block")).applyInArrow(_keep, KEPT)
     return kept.union(documents.where(F.col("doc_id").isNull()).mapInArrow(_keep_all, KEPT))
