@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from throngcast.operators.intervals import interval_join
+from throngcast.operators.intervals import interval_join, time_slot
 from throngcast.operators.sliding import sliding_average
 
 # Watermark, join bound, window and slide in seconds.
@@ -79,20 +79,23 @@ def delay_signal(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     )
 
 
-def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame, *, salts: int = 4) -> DataFrame:
+def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     """The pairs of two streams; state is dropped once both watermarks pass the bound.
 
-    Streams are not re-planned at run time, so a hot trip and stop is spread here: a
-    vehicle row gets one of ``salts`` numbers and a delay row is kept under each.
+    As in the batch form the five-minute slot joins the key and a delay is kept in the slots
+    around its own, so a hot trip and stop is spread over as many keys as it has slots.
     """
     lag = f"{WATERMARK_SECS} seconds"
-    number = F.pmod(F.xxhash64("vehicle_timestamp", "station_complex_id"), F.lit(salts)).cast("int")
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    left = usable_vehicles(vehicles).withColumn("salt", number).withWatermark("vehicle_timestamp", lag).alias("v")
-    right = usable_delays(delays).withColumn("salt", numbers).withWatermark("trip_timestamp", lag).alias("d")
+    own = time_slot(F.col("vehicle_timestamp"), JOIN_BOUND_SECS)
+    near = time_slot(F.col("trip_timestamp"), JOIN_BOUND_SECS)
+    left = usable_vehicles(vehicles).withColumn("slot", own).withWatermark("vehicle_timestamp", lag).alias("v")
+    right = (
+        usable_delays(delays).withColumn("slot", F.explode(F.array(near - 1, near, near + 1)))
+        .withWatermark("trip_timestamp", lag).alias("d")
+    )
     bound = F.expr(f"INTERVAL {JOIN_BOUND_SECS} SECONDS")
     reported, announced = F.col("v.vehicle_timestamp"), F.col("d.trip_timestamp")
-    same_key = [F.col(f"v.{name}") == F.col(f"d.{name}") for name in ("trip_id", "stop_id", "salt")]
+    same_key = [F.col(f"v.{name}") == F.col(f"d.{name}") for name in ("trip_id", "stop_id", "slot")]
     return left.join(right, [*same_key, announced.between(reported - bound, reported + bound)]).select(
         "v.trip_id",
         "v.stop_id",
@@ -104,11 +107,21 @@ def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame, *, salts: int = 4
 
 
 def delay_signal_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
-    """The signal of two streams: interval join, then sliding average, in append mode."""
-    window = F.window("vehicle_timestamp", f"{WINDOW_SECS} seconds", f"{SLIDE_SECS} seconds")
-    return (
+    """The signal of two streams: interval join, sums per slide, then windows over the sums.
+
+    Only the sums, one row per station and slide, are copied into the windows that cover them.
+    In append mode a window is emitted when later rows have moved the watermark past its end; the
+    last windows of a feed that falls silent stay open.
+    """
+    slide = f"{SLIDE_SECS} seconds"
+    sums = (
         delay_pairs_stream(vehicles, delays)
-        .groupBy(window.alias("window"), "station_complex_id")
-        .agg(F.avg("arrival_delay_secs").alias("avg_arrival_delay_secs"))
+        .groupBy(F.window("vehicle_timestamp", slide).alias("slide"), "station_complex_id")
+        .agg(F.sum("arrival_delay_secs").alias("total"), F.count(F.lit(1)).alias("pairs"))
+    )
+    window = F.window("slide", f"{WINDOW_SECS} seconds", slide)
+    return (
+        sums.groupBy(window.alias("window"), "station_complex_id")
+        .agg((F.sum("total") / F.sum("pairs")).alias("avg_arrival_delay_secs"))
         .select("station_complex_id", F.col("window.end").alias("event_timestamp"), "avg_arrival_delay_secs")
     )
