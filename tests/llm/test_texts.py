@@ -112,8 +112,9 @@ def test_plain_patterns_match_their_definition(text):
 )
 def test_disguises_map_back_to_the_source(kind, text):
     base, full = pii.all_spans(f"So é {text} end")
-    assert not base[kind] or base[kind] != [(5, 5 + len(text))]
-    assert full[kind] == [(5, 5 + len(text))]
+    whole = (5, 5 + len(text))
+    assert whole not in base[kind] and whole in full[kind]
+    assert set(base[kind]) <= set(full[kind]) <= {whole, *base[kind]}
 
 
 @pytest.mark.parametrize("text", ["we meet at noon. dot the i", "look at example.com", "one two three", "a (at) b", "ein Punkt"])

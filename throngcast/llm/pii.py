@@ -4,7 +4,7 @@ The transducer rewrites a text character by character or token by token: look-al
 digits to ASCII, digits written as words to digits, ``at`` and ``dot`` in their usual disguises to
 ``@`` and ``.``. Each output character keeps the source span it came from, so identifiers found
 in the rewritten text are mapped back to source characters. Plain spans stay as they are; a
-disguised one is added where it overlaps no plain span of its kind.
+disguised one is added unless a span of its kind covers it.
 
 Defined cases: a null text counts as empty and has no spans; every row is treated on its own;
 spans are in code points, end exclusive. Texts of any length are scanned in linear time. Other
@@ -210,7 +210,7 @@ def all_spans(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     for kind, find in FINDERS.items():
         taken = list(base[kind])
         for span in map(changed.source, find(changed.text)):
-            if all(span[1] <= a or b <= span[0] for a, b in taken):
+            if not any(a <= span[0] and span[1] <= b for a, b in taken):
                 taken.append(span)
         full[kind] = sorted(taken)
     return base, full
