@@ -91,13 +91,64 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(np.asarray(starts, np.int64) - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+_BLOCK = pa.schema([("block", pa.int64()), ("blob", pa.binary())])
+
+
+def text_blocks(docs: DataFrame, blocks: int, text: str = "text", lang: str | None = None) -> DataFrame:
+    """Documents dealt into ``blocks`` by a hash of their id: ``block, blob``.
+
+    The documents of one batch and block travel as one compressed value, read back with
+    ``documents_of``. Rows without an id are in block 0.
+    """
+    chosen = doc_frame(docs, text) if lang is None else doc_frame(docs.withColumn("_lang", F.col(lang).cast("binary")), text, keep="_lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = np.array(batch["doc_id"].is_valid())
+            ids = np.array(batch["doc_id"].fill_null(0))
+            raws = batch["raw"].to_pylist()
+            langs = batch["_lang"].to_pylist() if lang is not None else [None] * len(ids)
+            block, blob = [], []
+            for k, at in parts_by(np.where(known, block_of(ids, blocks), 0)):
+                block.append(k)
+                blob.append(packed(ids[at], known[at].astype(np.int8), *_joined([raws[j] for j in at]), *_joined([langs[j] for j in at])))
+            yield from table_of(_BLOCK, block=block, blob=blob).to_batches()
+
+    return chosen.mapInArrow(run, "block long, blob binary")
+
+
+def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    return (mixed(ids.astype(U64)) % U64(blocks)).astype(np.int64)
+
+
+def _joined(values: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([-1 if v is None else len(v) for v in values], np.int64)
+    return sizes, np.frombuffer(b"".join(v or b"" for v in values), np.uint8)
+
+
+def _taken_apart(sizes: np.ndarray, joined: np.ndarray) -> Iterator[bytes | None]:
+    raw, at = joined.tobytes(), 0
+    for size in sizes.tolist():
+        yield None if size < 0 else raw[at : at + size]
+        at += max(size, 0)
+
+
+def documents_of(table: pa.Table) -> Iterator[tuple[int | None, bytes | None, bytes | None]]:
+    """Id, text and language of each document in the rows of a block, one row unpacked at a time."""
+    for blob in table["blob"]:
+        ids, known, sizes, texts, lang_sizes, langs = unpacked(blob.as_py())
+        for doc_id, ok, raw, lang in zip(ids.tolist(), known.tolist(), _taken_apart(sizes, texts), _taken_apart(lang_sizes, langs)):
+            yield doc_id if ok else None, raw, lang
+
+
 def table_of(schema: pa.Schema, **columns) -> pa.Table:
     return pa.table({f.name: pa.array(columns[f.name], f.type) for f in schema}, schema=schema)
 
 
-def doc_frame(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def doc_frame(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str | None = None) -> DataFrame:
     """Only the id and the text as bytes, whatever other columns there are."""
-    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw"))
+    own = F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("raw")
+    return docs.select(*own, *([keep] if keep else []))
 
 
 def shuffle_width(spark: SparkSession) -> int:
