@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from throngcast.llm.common import (
-    U64, WordCodes, doc_frame, gram_hashes, packed, parts_by, ranges, shuffle_width, table_of, unpacked,
+    U64, WordCodes, block_of, doc_frame, documents_of, gram_hashes, packed, parts_by, ranges, shuffle_width, table_of,
+    text_blocks, unpacked,
 )
 
 WINDOW = 13
@@ -141,7 +142,7 @@ def _chunks(raws: list, codes: WordCodes) -> Iterator[tuple[int, np.ndarray, np.
     """First document, codes and document numbers of runs of whole documents."""
     parts, first, total = [], 0, 0
     for k, raw in enumerate(raws):
-        parts.append(codes.of((raw.as_py() or b"").split()))
+        parts.append(codes.of((raw or b"").split()))
         total += len(parts[-1])
         if total >= CHUNK_WORDS or k == len(raws) - 1:
             yield first, np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -154,7 +155,7 @@ def _send_minimisers(shards: int, words: int):
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             values, docs = [np.empty(0, U64)], [np.empty(0, np.int64)]
-            for first, chunk, doc in _chunks(batch["raw"], codes):
+            for first, chunk, doc in _chunks(batch["raw"].to_pylist(), codes):
                 start, _, least = minimisers(chunk, doc, words)
                 values.append(least)
                 docs.append(ids[first + doc[start]])
@@ -173,14 +174,9 @@ def _send_minimisers(shards: int, words: int):
     return run
 
 
-def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
-    """As ``pmod(doc_id, blocks)`` gives it."""
-    return ids % blocks
-
-
 def _by_block(ids: np.ndarray, blocks: int, *arrays: np.ndarray) -> pa.Table:
     block, blob = [], []
-    for key, at in parts_by(_block_of(ids, blocks)):
+    for key, at in parts_by(block_of(ids, blocks)):
         block.append(key)
         blob.append(packed(ids[at], *(a[at] for a in arrays)))
     return table_of(_ANSWER, block=block, blob=blob)
@@ -213,11 +209,11 @@ def _send_stretches(shards: int, words: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not docs.num_rows:
             return _SENT.empty_table()
-        docs = docs.combine_chunks()
         owner, value = _gathered(answers, (np.int64, U64))
         wanted = np.unique(value ^ (owner.astype(U64) * U64(0x9E3779B97F4A7C15)))
-        ids, found, codes = docs["doc_id"].to_numpy(), [], WordCodes()
-        for first, chunk, doc in _chunks(docs["raw"], codes):
+        rows = list(documents_of(docs))
+        ids, found, codes = np.array([i for i, _, _ in rows]), [], WordCodes()
+        for first, chunk, doc in _chunks([raw for _, raw, _ in rows], codes):
             start, end, least = minimisers(chunk, doc, words)
             doc_ids = ids[first + doc[start]]
             hit = np.isin(least ^ (doc_ids.astype(U64) * U64(0x9E3779B97F4A7C15)), wanted)
@@ -302,13 +298,12 @@ def _search(blocks: int, words: int):
 
 
 def _keep(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    docs = docs.combine_chunks()
     owner, first, end = _gathered(answers, (np.int64, np.int64, np.int64))
     order = np.argsort(owner, kind="stable")
     owner, first, end = owner[order], first[order], end[order]
     rows = []
-    for doc_id, raw in zip(docs["doc_id"].to_pylist(), docs["raw"]):
-        own = (raw.as_py() or b"").split()
+    for doc_id, raw, _ in documents_of(docs):
+        own = (raw or b"").split()
         a, b = (0, 0) if doc_id is None else np.searchsorted(owner, [doc_id, doc_id + 1])
         kept = own
         if b > a:
@@ -331,17 +326,15 @@ def dedup(docs: DataFrame, words: int = WINDOW) -> DataFrame:
     if not ANCHOR < words <= FMIndex.DEPTH:
         raise ValueError(f"windows of {ANCHOR + 1} to {FMIndex.DEPTH} words are supported")
     width = shuffle_width(docs.sparkSession)
-    # odd numbers, so that ids with a common factor are still spread
-    blocks, shards = width | 1, SHARDS_PER_PARTITION * width | 1
-    documents = doc_frame(docs)
-    rows = documents.where(F.col("doc_id").isNotNull())
+    blocks, shards = width, SHARDS_PER_PARTITION * width
+    known = docs.where(F.col("doc_id").isNotNull())
     # the documents are dealt by block once; both co-groupings read the same exchange
-    blocked = rows.withColumn("block", F.pmod(F.col("doc_id"), F.lit(blocks)))
-    sent = rows.mapInArrow(_send_minimisers(shards, words), "shard long, blob binary")
+    blocked = text_blocks(known, blocks)
+    sent = doc_frame(known).mapInArrow(_send_minimisers(shards, words), "shard long, blob binary")
     shared = sent.groupBy("shard").applyInArrow(_shared(blocks), "block long, blob binary")
     stretches = blocked.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         _send_stretches(shards, words), "shard long, blob binary"
     )
     covered = stretches.groupBy("shard").applyInArrow(_search(blocks, words), "block long, blob binary")
     kept = blocked.groupBy("block").cogroup(covered.groupBy("block")).applyInArrow(_keep, KEPT)
-    return kept.union(documents.where(F.col("doc_id").isNull()).mapInArrow(_keep_all, KEPT))
+    return kept.union(text_blocks(docs.where(F.col("doc_id").isNull()), 1).mapInArrow(_keep_all, KEPT))
