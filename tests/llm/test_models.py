@@ -129,7 +129,7 @@ def test_gradients_match_differences():
             network.backward(tape, dh.reshape(4, 3, -1), slots, grads)
         return -log.sum()
 
-    network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
+    network.p = {k: np.ascontiguousarray(v, np.float64) for k, v in network.p.items()}
     grads = {k: np.zeros(s) for k, s in network.SHAPES.items()}
     loss(grads)
     for name in network.SHAPES:
@@ -279,7 +279,7 @@ def test_reputation_shrinks_towards_the_domain(spark):
     pages = pages_of(spark, *urls)
     outcomes = spark.createDataFrame([(k, int(k < 40)) for k in range(440)] + [(441, 1), (3, None)], "page_id long, bad int")
     known = {r["host"]: r for r in url_filters.reputation(pages, outcomes).collect()}
-    assert known["bad.spam.net"]["bound"] > 0.8 > known["new.spam.net"]["rate"] > known["h1.fine.net"]["rate"]
+    assert min(known["bad.spam.net"]["bound"], known["new.spam.net"]["rate"]) > 0.8 > known["h1.fine.net"]["rate"]
     assert known["one.fine.net"]["rate"] < 0.9 and known["one.fine.net"]["n"] == 1
     verdicts = {r["host"]: r["verdict"] for r in url_filters.judge(pages, outcomes, []).collect()}
     assert verdicts["bad.spam.net"] == "block" and verdicts["one.fine.net"] == verdicts["h1.fine.net"] == "allow"

@@ -5,7 +5,8 @@ the network's vocabulary; every other word belongs to one of ``GROUPS`` groups b
 is predicted as its group times its share of the group's counts. The output softmax is factored
 into classes of slots.
 
-Training takes every ``1 / RATE``-th training document, so it grows with the input. Trainers run
+Training takes one training document in ``RATE``, so it grows with the input, but ``LEAST_DOCS`` at
+least. Trainers run
 in parallel from the same parameters with truncated backpropagation, their results are averaged
 per slice of the parameters, and that is repeated ``ROUNDS`` times. Scoring deals the documents
 into blocks, asks the shards for the counts of their words, and runs the network over whole
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from throngcast.llm.common import doc_frame, packed, shuffle_width, stored, table_of, unpacked
+from throngcast.llm.common import doc_frame, documents_of, packed, shuffle_width, stored, table_of, text_blocks, unpacked
 
 CLASSES, PER_CLASS = 32, 32
 GROUPS = 63
@@ -40,6 +41,8 @@ END = CLASSES * PER_CLASS - 1
 HIDDEN = 24
 #: One training document in so many trains the network; all of them are counted.
 RATE = 32
+#: So many documents train it at least, where there are as many.
+LEAST_DOCS = 2_000
 DOCS_PER_TRAINER = 400
 ROUNDS = 2
 STREAMS, WINDOW = 32, 16
@@ -360,8 +363,8 @@ _SCORED = pa.schema(
 def _ask(shards: int):
     def run(table: pa.Table) -> pa.Table:
         seen: set[bytes] = set()
-        for raw in table["raw"]:
-            seen.update((raw.as_py() or b"").lower().split())
+        for _, raw, _ in documents_of(table):
+            seen.update((raw or b"").lower().split())
         parts = _by_shard(list(seen), shards)
         block = table["block"][0].as_py()
         return table_of(_ASKED, shard=list(parts), block=[block] * len(parts), words=[b" ".join(w) for w in parts.values()])
@@ -385,12 +388,14 @@ def score(docs: DataFrame, learning: Column) -> DataFrame:
     rows = doc_frame(docs)
     training = rows.where(learning)
     counts = stored(word_counts(training, shards), "counts")
-    vocab = vocabulary(counts, training.count(), shards)
-    parameters = trained(training.where(F.pmod(F.xxhash64("doc_id"), F.lit(RATE)) == 0), vocab)
+    n = training.count()
+    vocab = vocabulary(counts, n, shards)
+    share = max(1 / RATE, min(1.0, LEAST_DOCS / max(n, 1)))
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(share * 1_000_000)
+    parameters = trained(training.where(chosen), vocab)
     shared = spark.sparkContext.broadcast((vocab, parameters))  # of fixed size
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
         known, flat = shared.value
         network = Network(known.slot_counts)
         network.load(flat)
@@ -409,21 +414,22 @@ def score(docs: DataFrame, learning: Column) -> DataFrame:
         in_group = np.where(other, log_count - room[np.where(other, group, 0)], 0.0)
         base_room = math.log10(known.tokens + known.kinds + 1)
         ends = len(number)
-        tokens = []
-        for raw in table["raw"]:
-            words = (raw.as_py() or b"").lower().split()
+        ids, tokens = [], []
+        for doc_id, raw, _ in documents_of(table):
+            words = (raw or b"").lower().split()
+            ids.append(doc_id)
             own = np.full(len(words) + 1, ends)
             own[:-1] = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
             tokens.append(own)
         model = score_documents(network, [slot[t] for t in tokens]) / math.log(10)
         return table_of(
-            _SCORED, doc_id=table["doc_id"], n_tokens=[len(t) for t in tokens],
+            _SCORED, doc_id=ids, n_tokens=[len(t) for t in tokens],
             n_known=[int((c[t] > 0).sum()) for t in tokens], train_tokens=[known.tokens] * len(tokens),
             base_score=[float(log_count[t].sum() - len(t) * base_room) for t in tokens],
             score=[float(model[k] + in_group[t].sum()) for k, t in enumerate(tokens)],
         )
 
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    blocked = text_blocks(docs, shards)
     asked = blocked.groupBy("block").applyInArrow(_ask(shards), "shard long, block long, words binary")
     told = asked.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(_tell, "block long, words binary, blob binary")
     return blocked.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, SCORED)
