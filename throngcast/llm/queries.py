@@ -104,8 +104,8 @@ def _strength(level: str, units: str) -> str:
     FROM {units} WHERE n > 0),
 {level}_terms AS (SELECT k, y / n AS rate, yyn - n * (y / n) * (y / n) - (k - 1) * ((y / n) * (1 - y / n)) AS between_,
     (n - nn / n - (k - 1)) * ((y / n) * (1 - y / n)) AS room FROM {level}_sums),
-{level}_prior AS (SELECT CASE WHEN k = 0 THEN 0.0 ELSE rate END AS rate, CASE WHEN k = 0 THEN 1.0 ELSE
-    1 / least(greatest(CASE WHEN room > 0 THEN between_ / room ELSE 0 END, 0.001), 0.999) - 1 END AS m FROM {level}_terms)"""
+{level}_prior AS (SELECT CASE WHEN k = 0 THEN 0.0 ELSE rate END AS rate, CASE WHEN k = 0 THEN 2.0 ELSE
+    greatest(1 / least(greatest(CASE WHEN room > 0 THEN between_ / room ELSE 0 END, 0.001), 0.999) - 1, 2.0) END AS m FROM {level}_terms)"""
 
 
 _FITS = {

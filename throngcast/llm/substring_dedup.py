@@ -68,7 +68,7 @@ class FMIndex:
         rank, step = symbols.astype(np.int64), 1
         while step < self.DEPTH:
             following = np.zeros(n, np.int64)
-            following[: n - step] = rank[step:] + 1
+            following[: max(n - step, 0)] = rank[step:] + 1
             order, rank = _ordered(rank * (int(rank.max()) + 2) + following)
             step *= 2
         self.suffixes = order

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 URL_PATTERN = "://([^/?#]*)([^?#]*)"
-LEVELS = ("host", "domain", "suffix")
+#: Outcomes a prior is worth at least, so that one outcome alone never decides over a host.
+LEAST_PRIOR = 2.0
 
 
 @dataclass(frozen=True)
@@ -64,13 +65,13 @@ def _concentration(units: DataFrame) -> tuple[float, float]:
         F.sum(n * n).alias("nn"), F.sum(y * y / n).alias("yyn"),
     ).first()
     if not row["k"]:
-        return 0.0, 1.0
+        return 0.0, LEAST_PRIOR
     rate = row["y"] / row["n"]
     spread = rate * (1 - rate)
     between = row["yyn"] - row["n"] * rate * rate - (row["k"] - 1) * spread
     room = (row["n"] - row["nn"] / row["n"] - (row["k"] - 1)) * spread
     correlation = between / room if room > 0 else 0.0
-    return rate, 1 / min(max(correlation, 0.001), 0.999) - 1
+    return rate, max(1 / min(max(correlation, 0.001), 0.999) - 1, LEAST_PRIOR)
 
 
 def reputation(pages: DataFrame, outcomes: DataFrame, z: float = 1.645) -> DataFrame:
