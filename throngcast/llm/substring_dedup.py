@@ -25,7 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,11 @@ ANCHOR = 6
 #: Windows of one stretch at most; longer runs with one minimiser are cut.
 STRETCH = 16
 #: Words handled at once inside a block.
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 18
 #: Shards for each shuffle partition; there is one block of documents for each.
-SHARDS_PER_PARTITION = 4
+SHARDS_PER_PARTITION = 2
+#: Patterns searched for side by side.
+SEARCHED_AT_ONCE = 100_000
 
 _SENT = pa.schema([("shard", pa.int64()), ("blob", pa.binary())])
 _ANSWER = pa.schema([("block", pa.int64()), ("blob", pa.binary())])
@@ -71,7 +73,8 @@ class FMIndex:
             following[: max(n - step, 0)] = rank[step:] + 1
             order, rank = _ordered(rank * (int(rank.max()) + 2) + following)
             step *= 2
-        self.suffixes = order
+        self.suffixes = order.astype(np.int32)
+        del rank, following
         last = symbols[order - 1]
         counts = np.bincount(symbols, minlength=n_symbols)
         self.first = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
@@ -99,10 +102,14 @@ class FMIndex:
 
     def intervals(self, text: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Suffix interval of the ``length`` symbols of ``text`` before each end."""
-        low = np.zeros(len(ends), np.int64)
-        high = np.full(len(ends), len(self.suffixes), np.int64)
-        for k in range(1, length + 1):
-            low, high = self.backward(text[ends - k], low, high)
+        low, high = np.empty(len(ends), np.int64), np.empty(len(ends), np.int64)
+        for start in range(0, len(ends), SEARCHED_AT_ONCE):
+            part = slice(start, start + SEARCHED_AT_ONCE)
+            own = ends[part]
+            a, b = np.zeros(len(own), np.int64), np.full(len(own), len(self.suffixes), np.int64)
+            for k in range(1, length + 1):
+                a, b = self.backward(text[own - k], a, b)
+            low[part], high[part] = a, b
         return low, high
 
 
@@ -138,15 +145,21 @@ def minimisers(codes: np.ndarray, doc: np.ndarray, words: int = WINDOW) -> tuple
     return start[kept], end[kept], least[start[kept]]
 
 
-def _chunks(raws: list, codes: WordCodes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _chunks(raws: Iterable[bytes | None], codes: WordCodes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First document, codes and document numbers of runs of whole documents."""
     parts, first, total = [], 0, 0
-    for k, raw in enumerate(raws):
+
+    def chunk() -> tuple[int, np.ndarray, np.ndarray]:
+        return first, np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+
+    for raw in raws:
         parts.append(codes.of((raw or b"").split()))
         total += len(parts[-1])
-        if total >= CHUNK_WORDS or k == len(raws) - 1:
-            yield first, np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            parts, first, total = [], k + 1, 0
+        if total >= CHUNK_WORDS:
+            yield chunk()
+            parts, first, total = [], first + len(parts), 0
+    if parts:
+        yield chunk()
 
 
 def _send_minimisers(shards: int, words: int):
@@ -211,9 +224,8 @@ def _send_stretches(shards: int, words: int):
             return _SENT.empty_table()
         owner, value = _gathered(answers, (np.int64, U64))
         wanted = np.unique(value ^ (owner.astype(U64) * U64(0x9E3779B97F4A7C15)))
-        rows = list(documents_of(docs))
-        ids, found, codes = np.array([i for i, _, _ in rows]), [], WordCodes()
-        for first, chunk, doc in _chunks([raw for _, raw, _ in rows], codes):
+        ids, found, codes = np.array([i for i, _, _ in documents_of(docs)]), [], WordCodes()
+        for first, chunk, doc in _chunks((raw for _, raw, _ in documents_of(docs)), codes):
             start, end, least = minimisers(chunk, doc, words)
             doc_ids = ids[first + doc[start]]
             hit = np.isin(least ^ (doc_ids.astype(U64) * U64(0x9E3779B97F4A7C15)), wanted)
@@ -247,40 +259,63 @@ def _digests(content: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(content * factors[ranges(np.zeros(len(sizes)), sizes)], start) + sizes.astype(U64)
 
 
+def _distinct_stretches(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Sizes and words of the distinct stretches, their smallest documents, and all copies.
+
+    Blobs are unpacked one at a time, first for the copies and then for the words of one copy of
+    each stretch, so that words of further copies are never held together.
+    """
+    digests, sizes, which, owner, place, seen = [], [], [], [], [], 0
+    for blob in blobs:
+        own_sizes, content, own_which, own_owner, own_place = unpacked(blob)
+        digests.append(_digests(content, own_sizes.astype(np.int64)))
+        sizes.append(own_sizes)
+        which.append(own_which + np.uint32(seen))
+        owner.append(own_owner)
+        place.append(own_place)
+        seen += len(own_sizes)
+    _, one, same = np.unique(np.concatenate(digests), return_index=True, return_inverse=True)
+    which, owner, place = same[np.concatenate(which)], np.concatenate(owner), np.concatenate(place)
+    first_doc = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(first_doc, which, owner)
+    one_of, start, kept = np.sort(one), 0, []
+    for blob, own_sizes in zip(blobs, sizes):
+        own = one_of[(one_of >= start) & (one_of < start + len(own_sizes))] - start
+        content, lengths = unpacked(blob)[1], own_sizes.astype(np.int64)
+        kept.append(content[ranges((np.cumsum(lengths) - lengths)[own], lengths[own])])
+        start += len(own_sizes)
+    # stretches in the order of their words, not of their digests
+    position = np.empty(len(one), np.int64)
+    position[np.argsort(one)] = np.arange(len(one))
+    by_place = np.empty(len(one), np.int64)
+    by_place[position] = first_doc
+    lengths = np.concatenate(sizes).astype(np.int64)[one_of]
+    return lengths, np.concatenate(kept), by_place, position[which], owner, place
+
+
 def _search(blocks: int, words: int):
     """Index the distinct stretches of a shard and report covered words of later documents."""
 
     def run(table: pa.Table) -> pa.Table:
-        sizes, content, which, owner, place = [], [], [], [], []
-        seen = 0
-        for blob in table["blob"].to_pylist():
-            s, c, w, o, p = unpacked(blob)
-            for out, part in zip((sizes, content, which, owner, place), (s.astype(np.int64), c, w.astype(np.int64) + seen, o, p.astype(np.int64))):
-                out.append(part)
-            seen += len(s)
-        sizes, content, which, owner, place = map(np.concatenate, (sizes, content, which, owner, place))
-        # one copy of each stretch, with its smallest document
-        _, one, same = np.unique(_digests(content, sizes), return_index=True, return_inverse=True)
-        which = same[which]
-        first_doc = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(first_doc, which, owner)
-        offset = np.cumsum(sizes) - sizes
-        content, sizes = content[ranges(offset[one], sizes[one])], sizes[one]
+        sizes, content, first_doc, which, owner, place = _distinct_stretches(table["blob"].to_pylist())
         _, dense = _ordered(content.view(np.int64))
+        del content
         # stretches end with symbol 0
-        text = np.zeros(len(content) + len(sizes), np.int64)
+        text = np.zeros(len(dense) + len(sizes), np.int32)
         begin = np.cumsum(sizes + 1) - sizes - 1
         text[ranges(begin, sizes)] = dense + 1
-        index = FMIndex(text, int(dense.max()) + 2)
+        n_symbols = int(dense.max()) + 2
+        del dense
+        index = FMIndex(text, n_symbols)
         n_windows = sizes - words + 1
         starts = ranges(begin, n_windows)
         low, high = index.intervals(text, starts + words, words)
-        by_suffix = np.repeat(first_doc, sizes + 1)[index.suffixes]
-        distinct, at = np.unique(low, return_inverse=True)
-        ends = np.zeros(len(distinct), np.int64)
-        ends[at] = high
-        bounds = np.stack([distinct, ends], axis=1).reshape(-1)
-        least = np.minimum.reduceat(np.append(by_suffix, np.iinfo(np.int64).max), bounds)[::2][at]
+        by_suffix = np.append(np.repeat(first_doc, sizes + 1)[index.suffixes], np.iinfo(np.int64).max)
+        del index, text, starts
+        # windows with one interval are equal; intervals do not overlap
+        distinct, one, at = np.unique(low, return_index=True, return_inverse=True)
+        bounds = np.stack([distinct, high[one]], axis=1).reshape(-1)
+        least = np.minimum.reduceat(by_suffix, bounds)[::2][at]
         # each copy of a stretch drops its windows that a smaller document has
         window_of = np.cumsum(n_windows) - n_windows
         rows = ranges(window_of[which], n_windows[which])
