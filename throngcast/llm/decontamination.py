@@ -3,7 +3,8 @@
 The CGK embedding walks along a sequence of words: at each step it writes the current word and
 moves on or not by a random bit that depends on the step and the word. Sequences at a small edit
 distance get embeddings at a small Hamming distance, as their walks come together again. Keys are
-samples of embedding positions, repeated over tables and walks until the recall target is met.
+samples of embedding positions, spread over the walk, repeated over tables and walks until the
+recall target is met. Short items use the first half of the walks, which does not leave them.
 
 A document is cut into item-sized windows that begin at every ``STRIDE``-th word; an item is
 embedded from each of its own words on, so that each copy of an item meets windows in line with
@@ -22,58 +23,92 @@ Other columns are ignored.
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from throngcast.llm.common import U64, WordCodes, doc_frame, mixed, multipliers, table_of
+from throngcast.llm.common import CODE_CACHE, U64, WordCodes, doc_frame, mixed, multipliers, ranges, table_of
 
 #: An item is found where the edit distance is at most this share of its words.
 MAX_EDITS = 0.2
 LEAST_WORDS = 8
 STRIDE = 4
-#: Steps of a walk, walks, and sampled keys of a walk with positions each.
-STEPS, WALKS, TABLES, SAMPLED = 12, 3, 4, 3
-#: Words of a window: a walk of ``STEPS`` steps sees no more.
-REACH = STEPS
+STRIDE = 4
+#: Independent walks, and their steps. A step moves on every other time on average, so a long walk
+#: sees about twelve words and its first half, the short walk, about six.
+WALKS, STEPS, SHORT_STEPS = 2, 24, 12
+#: Keys of a walk and the positions each samples, one from each of as many equal parts of the walk.
+LONG_TABLES, LONG_SAMPLED = 5, 6
+SHORT_TABLES, SHORT_SAMPLED = 3, 4
+#: Items with fewer words are looked up by their short walks.
+LONG_ITEM = 20
 BLOCK_WORDS = 2_000_000
 PUNCTUATION = string.punctuation.encode()
 FILTER_BITS = 22
+#: Documents whose windows are looked up at once.
+TOGETHER = 64
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
     return [w for w in (x.strip(PUNCTUATION) for x in (raw or b"").lower().split()) if w]
 
 
+class PlainCodes(WordCodes):
+    """Codes of words without the punctuation around them; 0 where nothing is left."""
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.strip(PUNCTUATION)
+        if len(self) >= CODE_CACHE:
+            self.clear()
+        code = self[word] = xxhash.xxh3_64_intdigest(plain) if plain else 0
+        return code
+
+    def of_text(self, raw: bytes | None) -> np.ndarray:
+        codes = self.of((raw or b"").lower().split())
+        return mixed(codes[codes != 0])
+
+
 _STEP_SALTS = multipliers(STEPS * WALKS, 21).reshape(WALKS, STEPS)
-_PICKS = np.stack(
-    [np.sort(np.random.default_rng(100 + k).choice(STEPS, SAMPLED, replace=False)) for k in range(WALKS * TABLES)]
-).reshape(WALKS, TABLES, SAMPLED)
-_KEY_FACTORS = multipliers(SAMPLED, 22)
-_TABLE_SALTS = multipliers(WALKS * TABLES, 23).reshape(WALKS, TABLES)
+_KEY_FACTORS = multipliers(LONG_SAMPLED, 22)
+_TABLE_SALTS = multipliers(WALKS * (LONG_TABLES + SHORT_TABLES), 23).reshape(WALKS, -1)
+
+
+def _picks(walk: int, table: int, steps: int, sampled: int) -> np.ndarray:
+    width = steps // sampled
+    within = np.random.default_rng(1000 * walk + table).integers(0, width, sampled)
+    return np.arange(sampled) * width + within
+
+
+_PICKS = [
+    [_picks(w, t, STEPS, LONG_SAMPLED) for t in range(LONG_TABLES)]
+    + [_picks(w, 100 + t, SHORT_STEPS, SHORT_SAMPLED) for t in range(SHORT_TABLES)]
+    for w in range(WALKS)
+]
+#: Whether each column of ``keys`` belongs to the long walks.
+LONG = np.tile(np.arange(LONG_TABLES + SHORT_TABLES) < LONG_TABLES, WALKS)
 
 
 def keys(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Keys of the windows at ``starts``: a row per window, a column per walk and table."""
+    """Keys of the windows at ``starts``: a row per walk and table, a column per window."""
     padded = np.concatenate([codes, np.zeros(STEPS, U64)])
-    out = np.empty((len(starts), WALKS * TABLES), U64)
+    out = []
     for w in range(WALKS):
-        at = starts.copy()
-        written = np.empty((STEPS, len(starts)), U64)
+        at, written = starts, []
         for s in range(STEPS):
-            word = padded[np.minimum(at, len(padded) - 1)]
-            written[s] = word
-            at += ((word * _STEP_SALTS[w, s]) >> U64(63)).astype(np.int64)
-        for t in range(TABLES):
-            key = np.full(len(starts), _TABLE_SALTS[w, t])
-            for factor, s in zip(_KEY_FACTORS, _PICKS[w, t]):
+            word = padded[at]
+            written.append(word)
+            at = at + ((word * _STEP_SALTS[w, s]) >> U64(63)).astype(np.int64)
+        for salt, picks in zip(_TABLE_SALTS[w], _PICKS[w]):
+            key = written[picks[0]] * _KEY_FACTORS[0] + salt
+            for factor, s in zip(_KEY_FACTORS[1:], picks[1:]):
                 key += written[s] * factor
-            out[:, w * TABLES + t] = mixed(key)
-    return out
+            out.append(key)
+    return mixed(np.stack(out))
 
 
 def infix_distance(item: np.ndarray, text: np.ndarray) -> int:
@@ -92,18 +127,18 @@ class Items:
     """Benchmark items with the keys of all their windows, for one block."""
 
     def __init__(self, rows: list[tuple[int | None, bytes | None]]):
-        codes = WordCodes()
+        codes = PlainCodes()
         self.ids, self.codes = [], []
         key, item, offset = [np.empty(0, U64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for item_id, raw in rows:
-            own = mixed(codes.of(words_of(raw)))
+            own = codes.of_text(raw)
             if len(own) < LEAST_WORDS:
                 continue
             starts = np.arange(max(1, len(own) - LEAST_WORDS + 1))
-            found = keys(own, starts)
+            found = keys(own, starts)[LONG == (len(own) >= LONG_ITEM)]
             key.append(found.ravel())
             item.append(np.full(found.size, len(self.ids)))
-            offset.append(np.repeat(starts, found.shape[1]))
+            offset.append(np.tile(starts, len(found)))
             self.ids.append(item_id)
             self.codes.append(own)
         key, item, offset = map(np.concatenate, (key, item, offset))
@@ -112,33 +147,64 @@ class Items:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.key >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
 
-    def found_in(self, own: np.ndarray) -> list[tuple[int, int]]:
-        """Numbers of the items that a document of these codes holds, with their distances."""
-        if len(own) < LEAST_WORDS or not len(self.key):
-            return []
-        starts = np.arange(0, len(own) - LEAST_WORDS // 2, STRIDE)
-        own_keys = keys(own, starts)
-        rows, columns = np.nonzero(self.filter[(own_keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
-        hits = own_keys[rows, columns]
+    def found_in(self, texts: Sequence[np.ndarray]) -> list[list[tuple[int, int]]]:
+        """For each document, given by its codes, the numbers of the items it holds and their distances.
+
+        The windows of ``TOGETHER`` documents are looked up at once, with room between documents so
+        that no walk leaves its own.
+        """
+        found: list[list[tuple[int, int]]] = []
+        for start in range(0, len(texts), TOGETHER):
+            group = texts[start : start + TOGETHER]
+            for own, candidates in zip(group, self._candidates(group)):
+                found.append(self._verified(own, candidates) if candidates else [])
+        return found
+
+    def _candidates(self, group: Sequence[np.ndarray]) -> list[set[tuple[int, int]]]:
+        """Items and where they would begin, for each document."""
+        candidates: list[set[tuple[int, int]]] = [set() for _ in group]
+        sizes = np.array([len(own) for own in group])
+        windows = np.where(sizes >= LEAST_WORDS, (sizes - LEAST_WORDS // 2 + STRIDE - 1) // STRIDE, 0)
+        if not windows.any() or not len(self.key):
+            return candidates
+        begin = np.cumsum(sizes + STEPS) - sizes - STEPS
+        whole = np.zeros(int(begin[-1] + sizes[-1] + STEPS), U64)
+        for own, at in zip(group, begin):
+            whole[at : at + len(own)] = own
+        owner = np.repeat(np.arange(len(group)), windows)
+        starts = ranges(np.zeros(len(group)), windows) * STRIDE
+        own_keys = keys(whole, starts + begin[owner])
+        tables, rows = np.nonzero(self.filter[(own_keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
+        hits = own_keys[tables, rows]
         low = np.searchsorted(self.key, hits)
         real = (low < len(self.key)) & (self.key[np.minimum(low, len(self.key) - 1)] == hits)
         rows, low, hits = rows[real], low[real], hits[real]
         high = np.searchsorted(self.key, hits, "right")
-        candidates: set[tuple[int, int]] = set()
         for row, a, b in zip(rows.tolist(), low.tolist(), high.tolist()):
             for k in range(a, b):
-                candidates.add((int(self.item[k]), int(starts[row] - self.offset[k])))
+                candidates[owner[row]].add((int(self.item[k]), int(starts[row] - self.offset[k])))
+        return candidates
+
+    def _verified(self, own: np.ndarray, candidates: set[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Items within the limit of edits, by the exact distance around each candidate place."""
+        # an item word that the document lacks costs an edit wherever the item may be
+        present = np.unique(own)
+        common = {n: int(np.isin(self.codes[n], present).sum()) for n in {n for n, _ in candidates}}
         best: dict[int, int] = {}
         checked: dict[int, list[tuple[int, int]]] = {}
         for number, begin in sorted(candidates):
             item = self.codes[number]
             most = int(MAX_EDITS * len(item))
+            if common[number] < len(item) - most:
+                continue
             start, end = max(0, begin - most), min(len(own), begin + len(item) + most)
             if best.get(number) == 0 or any(a <= start and end <= b for a, b in checked.get(number, ())):
                 continue
             # neighbouring windows are verified together
             start, end = max(0, start - most), min(len(own), end + most)
             checked.setdefault(number, []).append((start, end))
+            if int(np.isin(item, own[start:end]).sum()) < len(item) - most:
+                continue
             distance = infix_distance(item, own[start:end])
             if distance <= most:
                 best[number] = min(distance, best.get(number, distance))
@@ -172,11 +238,12 @@ def find(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
         shared = spark.sparkContext.broadcast(block)  # bounded by block_words
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, codes = Items(shared.value), WordCodes()
+            items, codes = Items(shared.value), PlainCodes()
             for batch in batches:
                 out = []
-                for doc_id, raw in zip(batch["doc_id"].to_pylist(), batch["raw"]):
-                    for number, distance in items.found_in(mixed(codes.of(words_of(raw.as_py())))):
+                texts = [codes.of_text(raw.as_py()) for raw in batch["raw"]]
+                for doc_id, pairs in zip(batch["doc_id"].to_pylist(), items.found_in(texts)):
+                    for number, distance in pairs:
                         out.append((doc_id, items.ids[number], distance, len(items.codes[number])))
                 yield from table_of(_FOUND, **dict(zip(_FOUND.names, zip(*out) if out else [[]] * 4))).to_batches()
 
@@ -200,9 +267,9 @@ def flag(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
 def _holds(shared) -> Callable[[Column], Column]:
     @F.pandas_udf("boolean")
     def holds(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        items, codes = Items(shared.value), WordCodes()
+        items, codes = Items(shared.value), PlainCodes()
         for texts in parts:
-            raws = (t.encode() if t is not None else None for t in texts)
-            yield pd.Series([bool(items.found_in(mixed(codes.of(words_of(raw))))) for raw in raws], dtype=bool)
+            own = [codes.of_text(None if t is None else t.encode()) for t in texts]
+            yield pd.Series([bool(pairs) for pairs in items.found_in(own)], dtype=bool)
 
     return holds
