@@ -541,6 +541,15 @@ _SELECTS: dict[str, str] = {
     "stream_interval_join": f"SELECT {PAIR_COLUMNS} FROM pairs",
     "stream_delay_signal": SIGNAL_QUERY,
     "stream_score_foreachbatch": SCORE_QUERY,
+    "stream_late_data": """
+        SELECT window_start, (n * CASE WHEN epoch_ms(window_start) + 10000 > epoch_ms((SELECT max(ts) FROM events)) - 30000
+               THEN 3 ELSE 2 END)::BIGINT AS msg_count
+        FROM (SELECT make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS window_start, count(*) AS n FROM events GROUP BY ALL)""",
+    "stream_escalations": f"""
+        SELECT {SCORED_COLUMNS}, (2 - rn)::BIGINT AS batch_id FROM (
+            SELECT *, row_number() OVER w AS rn, lead(alert_level) OVER w AS previous_level FROM scored
+            WINDOW w AS (PARTITION BY station_complex_id ORDER BY event_timestamp DESC, inserted_at DESC, congestion_score DESC))
+        WHERE rn <= 2 AND alert_level = 'SEVERE' AND (rn = 2 OR previous_level IS DISTINCT FROM 'SEVERE')""",
     "stream_tumbling_count": "SELECT make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS window_start, count(*) AS msg_count FROM events GROUP BY ALL",
     "upsert_latest": f"SELECT {CONDITION_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_at DESC) AS rn FROM conditions) WHERE rn = 1",
 }

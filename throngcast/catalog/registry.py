@@ -830,3 +830,41 @@ def upsert_latest(spark, d):
     conditions = ingest.classify_observations(A.observations(A.events_stream(spark, d)))
     jobs.upsert_conditions(conditions, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
     return jobs.current_conditions(spark, out)
+
+
+def _files_in_turn(spark, name, *parts: DataFrame) -> DataFrame:
+    """A stream over one file per frame, a trigger each, in the given order."""
+    path = scratch_path(spark, name)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return readers.file_stream(spark, path, parts[0].schema, max_files_per_trigger=1)
+
+
+@query
+def stream_late_data(spark, d):
+    """All events three times over: rows of windows that the watermark has passed are dropped.
+
+    A trigger drops by the watermark it was planned with, which the first one has not moved yet,
+    so the second copy still counts and the third does not but for the open windows.
+    """
+    events = A.events(spark, d).select("ts")
+    feed = _files_in_turn(spark, "late-events", events, events, events)
+    out = scratch_path(spark, "late-counts")
+    with state_partitions(spark, STATE_WIDTH):
+        counts = jobs.windowed_counts(feed, "ts")
+        jobs.keep_counts(counts, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
+    return jobs.current_counts(spark, out).select(F.col("start").alias("window_start"), "msg_count")
+
+
+@query
+def stream_escalations(spark, d):
+    """Live escalations: the history up to each station's last row but one, then the last rows."""
+    scored = _scored(spark, d)
+    keys = ["station_complex_id", *serving.RECENCY, "congestion_score"]
+    newest = serving.latest_per_station(scored).select(*keys, F.lit(True).alias("newest"))
+    flagged = scored.join(newest, keys, "left").select(*SCORED.fieldNames(), "newest")
+    rows = (flagged.where(F.col("newest").isNull()).drop("newest"), flagged.where("newest").drop("newest"))
+    state, out = scratch_path(spark, "station-state"), scratch_path(spark, "escalations")
+    feed = _files_in_turn(spark, "scored", *rows)
+    jobs.watch_escalations(feed, state, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
+    return writers.batch_table(spark, out, SCORED)
