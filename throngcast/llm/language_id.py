@@ -16,12 +16,14 @@ are predicted each on its own. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ PER_LANGUAGE = 1_000
 #: N-grams kept per language, the most frequent: what is broadcast has this bound.
 GRAMS_PER_LANGUAGE = 60_000
 UNDETERMINED = "und"
-#: A letter and what may follow it in a word.
-WORD = regex.compile(r"[\p{L}\p{M}]+")
+#: Letters, with the few number signs that Python counts as word characters.
+WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 200_000
 #: Likelihood floor: a word can come from outside all models, at this ratio to the best one.
 FLOOR = 1e-4
@@ -99,29 +101,42 @@ class Mixture:
         table += 0.5
         self.index = index
         self.table = np.log(table / table.sum(axis=0)) if self.langs else table
-        self.words: dict[str, np.ndarray] = {}
+        self.numbers: dict[str, int] = {}
+        self.p = np.empty((0, len(self.langs)))
 
-    def likelihoods(self, word: str) -> np.ndarray:
-        """Likelihood of the word under each language, over the best one's.
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """Likelihood of each word under each language, over the best one's: a row per word.
 
-        Characters overlap in n-grams, so the sum is divided by the order.
+        Characters overlap in n-grams, so their sum is divided by half the order. Words met before
+        are remembered, ``CACHED_WORDS`` of them.
         """
-        known = self.words.get(word)
-        if known is None:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            rows = [self.index.get(g, -1) for g in _grams(word)]
-            log = self.table[rows].sum(axis=0) / ORDER * 2
-            known = self.words[word] = np.maximum(np.exp(log - log.max()), FLOOR)
-        return known
+        if len(self.numbers) > CACHED_WORDS:
+            self.numbers, self.p = {}, self.p[:0]
+        new = [w for w in words if w not in self.numbers]
+        if new:
+            get, rows, sizes = self.index.get, [], []
+            for word in new:
+                grams = _grams(word)
+                rows += [get(g, -1) for g in grams]
+                sizes.append(len(grams))
+            starts = np.cumsum([0, *sizes[:-1]])
+            log = np.add.reduceat(self.table[rows], starts, axis=0) / ORDER * 2
+            fresh = np.maximum(np.exp(log - log.max(axis=1, keepdims=True)), FLOOR)
+            first = len(self.numbers)
+            self.numbers.update((w, first + k) for k, w in enumerate(new))
+            if first + len(new) > len(self.p):
+                room = np.empty((max(2 * len(self.p), first + len(new)), len(self.langs)))
+                room[:first] = self.p[:first]
+                self.p = room
+            self.p[first : first + len(new)] = fresh
+        return self.p[[self.numbers[w] for w in words]]
 
     def proportions(self, p: np.ndarray, n: np.ndarray, steps: int = 30) -> tuple[np.ndarray, float]:
         """Shares that maximise the likelihood of words with likelihoods ``p`` seen ``n`` times."""
         share = np.full(p.shape[1], 1 / p.shape[1])
         total = n.sum()
         for _ in range(steps):
-            joint = p * share
-            new = n @ (joint / joint.sum(axis=1, keepdims=True)) / total
+            new = share * ((n / (p @ share)) @ p) / total
             done = np.abs(new - share).max() < 1e-4
             share = new
             if done:
@@ -131,9 +146,9 @@ class Mixture:
     def infer(self, text: str) -> dict[str, float]:
         """Shares of the chosen languages; empty without letters or languages."""
         counts = Counter(WORD.findall(text.lower())) if self.langs else {}
-        if not counts:
+        if not any(c.isalpha() for word in counts for c in word):
             return {}
-        p = np.array([self.likelihoods(w) for w in counts])
+        p = self.likelihoods(list(counts))
         n = np.fromiter(counts.values(), float, len(counts))
         chosen = list(range(len(self.langs)))
         share, fit = self.proportions(p, n)
@@ -148,6 +163,17 @@ class Mixture:
         return {self.langs[k]: float(s) for k, s in zip(chosen, share)}
 
 
+_MODELS: dict[str, Mixture] = {}
+
+
+def _mixture(key: str, shared: Broadcast) -> Mixture:
+    """The Python worker's own model, which its later tasks of the same query go on with."""
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = Mixture(shared.value)
+    return _MODELS[key]
+
+
 PREDICTED = "doc_id long, lang_pred string, score double, lang_set string"
 _PREDICTED = pa.schema(
     [("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("lang_set", pa.string())]
@@ -157,10 +183,10 @@ _PREDICTED = pa.schema(
 def predict(docs: DataFrame, counts: dict[str, dict[str, float]]) -> DataFrame:
     """``PREDICTED`` of every document; ``lang_set`` joins the chosen languages by spaces."""
     # n-grams of bounded number, shared once with each executor
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared, key = docs.sparkSession.sparkContext.broadcast(counts), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Mixture(shared.value)
+        model = _mixture(key, shared)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
