@@ -213,6 +213,28 @@ def test_edited_items_are_found(spark, documents):
     assert flagged == {a for a, _ in found}
 
 
+def edited_copies(rng, item, spread):
+    """The item with all the edits it may have: at random, or replaced words spread evenly."""
+    edits, out = int(decontamination.MAX_EDITS * len(item)), list(item)
+    at = [(k + 1) * (len(item) + 1) // (edits + 1) - 1 for k in range(edits)] if spread else rng.choice(len(item), edits, replace=False)
+    for k, place in enumerate(sorted(map(int, at), reverse=True)):
+        kind = 1 if spread else int(rng.integers(3))
+        out[place : place + 1] = [[], [f"new{k}"], [f"new{k}", out[place]]][kind]
+    return out
+
+
+@pytest.mark.parametrize("spread", [False, True])
+@pytest.mark.parametrize("size", [8, 12, 15, 20, 25, 40])
+def test_recall_with_all_allowed_edits(size, spread):
+    rng, n = np.random.default_rng(size), 400
+    items = [[f"i{k}w{j}" for j in range(size)] for k in range(n)]
+    own = decontamination.Items([(k, " ".join(w).encode()) for k, w in enumerate(items)])
+    codes = decontamination.PlainCodes()
+    texts = [" ".join(["pre"] * (k % 7) + edited_copies(rng, w, spread) + ["post"] * 9).encode() for k, w in enumerate(items)]
+    found = own.found_in([codes.of_text(t) for t in texts])
+    assert sum(k in dict(pairs) for k, pairs in enumerate(found)) >= decontamination.RECALL * n
+
+
 def test_decontamination_of_odd_documents(spark, odd_documents, no_documents):
     bench = spark.createDataFrame([(1, " ".join(f"p{k}" for k in range(5, 35)))], "item_id long, text string")
     assert {r["doc_id"] for r in decontamination.find(odd_documents, bench).collect()} == {1, 8, 12, None}

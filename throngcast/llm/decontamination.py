@@ -3,13 +3,16 @@
 The CGK embedding walks along a sequence of words: at each step it writes the current word and
 moves on or not by a random bit that depends on the step and the word. Sequences at a small edit
 distance get embeddings at a small Hamming distance, as their walks come together again. Keys are
-samples of embedding positions, spread over the walk, repeated over tables and walks until the
-recall target is met. Short items use the first half of the walks, which does not leave them.
+samples of embedding positions, spread over the walk, repeated over tables and walks. A walk sees
+few words, about as many as stay together wherever the edits are: an item of n words with e edits
+has a stretch of n / (e + 1) words without any. Short items have a scheme of their own.
 
-A document is cut into item-sized windows that begin at every ``STRIDE``-th word; an item is
-embedded from each of its own words on, so that each copy of an item meets windows in line with
-it, several of them in a longer copy. A window that shares a key with an item is verified: the
-smallest word edit distance between the item and any stretch of the text around it.
+Documents are embedded from every word on, and an item from each of its own words that the walks
+do not leave at once, so every stretch of a copy meets windows in line with it. By simulation over
+items of 8 to 60 words, at least ``RECALL`` of the copies with all allowed edits share a key, also
+with the edits spread evenly, the worst case; a test holds this. A window that shares a key with
+an item is verified: the smallest word edit distance between the item and any stretch of the text
+around it.
 
 The items are taken as queries in blocks of at most ``BLOCK_WORDS`` words, which bounds what is
 sent to the executors; each block is matched against all documents.
@@ -37,21 +40,15 @@ from throngcast.llm.common import CODE_CACHE, U64, WordCodes, doc_frame, mixed,
 #: An item is found where the edit distance is at most this share of its words.
 MAX_EDITS = 0.2
 LEAST_WORDS = 8
-STRIDE = 4
-STRIDE = 4
-#: Independent walks, and their steps. A step moves on every other time on average, so a long walk
-#: sees about twelve words and its first half, the short walk, about six.
-WALKS, STEPS, SHORT_STEPS = 2, 24, 12
-#: Keys of a walk and the positions each samples, one from each of as many equal parts of the walk.
-LONG_TABLES, LONG_SAMPLED = 5, 6
-SHORT_TABLES, SHORT_SAMPLED = 3, 4
-#: Items with fewer words are looked up by their short walks.
-LONG_ITEM = 20
+#: Share of the copies with ``MAX_EDITS`` that are candidates, at every length.
+RECALL = 0.99
+#: Words that an item has left at least where it is embedded.
+LEAST_LEFT = 3
 BLOCK_WORDS = 2_000_000
 PUNCTUATION = string.punctuation.encode()
 FILTER_BITS = 22
-#: Documents whose windows are looked up at once.
-TOGETHER = 64
+#: Documents whose windows are looked up at once, and their words (one longer document may exceed it).
+TOGETHER, TOGETHER_WORDS = 64, 60_000
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -73,42 +70,68 @@ class PlainCodes(WordCodes):
         return mixed(codes[codes != 0])
 
 
-_STEP_SALTS = multipliers(STEPS * WALKS, 21).reshape(WALKS, STEPS)
-_KEY_FACTORS = multipliers(LONG_SAMPLED, 22)
-_TABLE_SALTS = multipliers(WALKS * (LONG_TABLES + SHORT_TABLES), 23).reshape(WALKS, -1)
-
-
-def _picks(walk: int, table: int, steps: int, sampled: int) -> np.ndarray:
-    width = steps // sampled
-    within = np.random.default_rng(1000 * walk + table).integers(0, width, sampled)
-    return np.arange(sampled) * width + within
-
-
-_PICKS = [
-    [_picks(w, t, STEPS, LONG_SAMPLED) for t in range(LONG_TABLES)]
-    + [_picks(w, 100 + t, SHORT_STEPS, SHORT_SAMPLED) for t in range(SHORT_TABLES)]
-    for w in range(WALKS)
-]
-#: Whether each column of ``keys`` belongs to the long walks.
-LONG = np.tile(np.arange(LONG_TABLES + SHORT_TABLES) < LONG_TABLES, WALKS)
-
+class Scheme:
+    """Independent walks of so many steps, a step moving on every other time on average; the keys
+    of a walk, and the positions each samples, one from each of as many equal parts of the walk."""
+
+    def __init__(self, least: int, walks: int, steps: int, tables: int, sampled: int):
+        #: Words of the shortest item that is looked up by this scheme.
+        self.least, self.steps = least, steps
+        self.step_salts = multipliers(steps * walks, 21).reshape(walks, steps)
+        self.factors = multipliers(sampled, 22)
+        self.table_salts = multipliers(walks * tables, 23).reshape(walks, tables)
+        width, part = steps // sampled, np.arange(sampled)
+        self.picks = [
+            [part * width + np.random.default_rng(1000 * w + t).integers(0, width, sampled) for t in range(tables)]
+            for w in range(walks)
+        ]
+
+    def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Keys of the windows at ``starts``: a row per walk and table, a column per window."""
+        padded = np.concatenate([codes, np.zeros(self.steps, U64)])
+        out = []
+        for step_salts, table_salts, tables in zip(self.step_salts, self.table_salts, self.picks):
+            at, written = starts, []
+            for step_salt in step_salts:
+                word = padded[at]
+                written.append(word)
+                at = at + ((word * step_salt) >> U64(63)).astype(np.int64)
+            for salt, picks in zip(table_salts, tables):
+                key = written[picks[0]] * self.factors[0] + salt
+                for factor, s in zip(self.factors[1:], picks[1:]):
+                    key += written[s] * factor
+                out.append(key)
+        return mixed(np.stack(out))
+
+
+#: Items of fewer than 14 words keep stretches of three words, longer ones of four (15 words: three).
+SCHEMES = (Scheme(LEAST_WORDS, 3, 9, 3, 3), Scheme(14, 2, 12, 4, 4))
+#: Room after a document, so that no walk leaves it.
+ROOM = max(scheme.steps for scheme in SCHEMES)
+
+
+def scheme_of(words: int) -> Scheme:
+    return max((s for s in SCHEMES if s.least <= words), key=lambda s: s.least)
+
+
+class Index:
+    """Keys of the windows of some items, sorted, with the item and the offset of each."""
+
+    def __init__(self, keys: list[np.ndarray], items: list[np.ndarray], offsets: list[np.ndarray]):
+        key = np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        self.key, self.item, self.offset = key[order], np.concatenate(items)[order], np.concatenate(offsets)[order]
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[(self.key >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
 
-def keys(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Keys of the windows at ``starts``: a row per walk and table, a column per window."""
-    padded = np.concatenate([codes, np.zeros(STEPS, U64)])
-    out = []
-    for w in range(WALKS):
-        at, written = starts, []
-        for s in range(STEPS):
-            word = padded[at]
-            written.append(word)
-            at = at + ((word * _STEP_SALTS[w, s]) >> U64(63)).astype(np.int64)
-        for salt, picks in zip(_TABLE_SALTS[w], _PICKS[w]):
-            key = written[picks[0]] * _KEY_FACTORS[0] + salt
-            for factor, s in zip(_KEY_FACTORS[1:], picks[1:]):
-                key += written[s] * factor
-            out.append(key)
-    return mixed(np.stack(out))
+    def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows that share a key with an item, the item, and its word in line with the window."""
+        rows, windows = np.nonzero(self.filter[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
+        hits = keys[rows, windows]
+        low = np.searchsorted(self.key, hits)
+        several = np.searchsorted(self.key, hits, "right") - low
+        entries = ranges(low, several)
+        return np.repeat(windows, several), self.item[entries], self.offset[entries]
 
 
 def infix_distance(item: np.ndarray, text: np.ndarray) -> int:
@@ -129,81 +152,93 @@ class Items:
     def __init__(self, rows: list[tuple[int | None, bytes | None]]):
         codes = PlainCodes()
         self.ids, self.codes = [], []
-        key, item, offset = [np.empty(0, U64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        found: dict[Scheme, list[tuple[np.ndarray, ...]]] = {}
         for item_id, raw in rows:
             own = codes.of_text(raw)
             if len(own) < LEAST_WORDS:
                 continue
-            starts = np.arange(max(1, len(own) - LEAST_WORDS + 1))
-            found = keys(own, starts)[LONG == (len(own) >= LONG_ITEM)]
-            key.append(found.ravel())
-            item.append(np.full(found.size, len(self.ids)))
-            offset.append(np.tile(starts, len(found)))
+            scheme, starts = scheme_of(len(own)), np.arange(len(own) - LEAST_LEFT + 1)
+            key = scheme.keys(own, starts)
+            found.setdefault(scheme, []).append((key.ravel(), np.full(key.size, len(self.ids)), np.tile(starts, len(key))))
             self.ids.append(item_id)
             self.codes.append(own)
-        key, item, offset = map(np.concatenate, (key, item, offset))
-        order = np.argsort(key, kind="stable")
-        self.key, self.item, self.offset = key[order], item[order], offset[order]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[(self.key >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.indexes = {scheme: Index(*map(list, zip(*parts))) for scheme, parts in found.items()}
+        self.sizes = np.array([len(own) for own in self.codes], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate([np.empty(0, U64), *self.codes])
 
     def found_in(self, texts: Sequence[np.ndarray]) -> list[list[tuple[int, int]]]:
         """For each document, given by its codes, the numbers of the items it holds and their distances.
 
-        The windows of ``TOGETHER`` documents are looked up at once, with room between documents so
-        that no walk leaves its own.
+        The windows of up to ``TOGETHER`` documents are looked up at once, with room between
+        documents so that no walk leaves its own.
         """
         found: list[list[tuple[int, int]]] = []
-        for start in range(0, len(texts), TOGETHER):
-            group = texts[start : start + TOGETHER]
+        while len(found) < len(texts):
+            group = texts[len(found) : len(found) + TOGETHER]
+            fit = int(np.searchsorted(np.cumsum([len(own) for own in group]), TOGETHER_WORDS, "right"))
+            group = group[: max(1, fit)]
             for own, candidates in zip(group, self._candidates(group)):
                 found.append(self._verified(own, candidates) if candidates else [])
         return found
 
-    def _candidates(self, group: Sequence[np.ndarray]) -> list[set[tuple[int, int]]]:
-        """Items and where they would begin, for each document."""
-        candidates: list[set[tuple[int, int]]] = [set() for _ in group]
+    def _candidates(self, group: Sequence[np.ndarray]) -> list[list[tuple[int, int]]]:
+        """Items and where they would begin, in order, for each document.
+
+        An item word that the document lacks costs an edit wherever the item may be, so items of
+        which too many words are lacking are left out.
+        """
+        candidates: list[list[tuple[int, int]]] = [[] for _ in group]
         sizes = np.array([len(own) for own in group])
-        windows = np.where(sizes >= LEAST_WORDS, (sizes - LEAST_WORDS // 2 + STRIDE - 1) // STRIDE, 0)
-        if not windows.any() or not len(self.key):
+        if not sizes.any() or not self.indexes:
             return candidates
-        begin = np.cumsum(sizes + STEPS) - sizes - STEPS
-        whole = np.zeros(int(begin[-1] + sizes[-1] + STEPS), U64)
+        begin = np.cumsum(sizes + ROOM) - sizes - ROOM
+        whole = np.zeros(int(begin[-1] + sizes[-1] + ROOM), U64)
         for own, at in zip(group, begin):
             whole[at : at + len(own)] = own
-        owner = np.repeat(np.arange(len(group)), windows)
-        starts = ranges(np.zeros(len(group)), windows) * STRIDE
-        own_keys = keys(whole, starts + begin[owner])
-        tables, rows = np.nonzero(self.filter[(own_keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
-        hits = own_keys[tables, rows]
-        low = np.searchsorted(self.key, hits)
-        real = (low < len(self.key)) & (self.key[np.minimum(low, len(self.key) - 1)] == hits)
-        rows, low, hits = rows[real], low[real], hits[real]
-        high = np.searchsorted(self.key, hits, "right")
-        for row, a, b in zip(rows.tolist(), low.tolist(), high.tolist()):
-            for k in range(a, b):
-                candidates[owner[row]].add((int(self.item[k]), int(starts[row] - self.offset[k])))
+        starts = ranges(begin, sizes)
+        parts = [index.hits(scheme.keys(whole, starts)) for scheme, index in self.indexes.items()]
+        windows, items, offsets = map(np.concatenate, zip(*parts))
+        # one number for document, item and place, which may lie before the document
+        owners = np.repeat(np.arange(len(group)), sizes)[windows]
+        before = int(self.sizes.max())
+        span = int(sizes.max()) + before
+        places = starts[windows] - begin[owners] - offsets + before
+        found = np.unique((owners * len(self.ids) + items) * span + places)
+        pairs, places = found // span, found % span - before
+        owners, items = pairs // len(self.ids), pairs % len(self.ids)
+        cuts = np.searchsorted(owners, np.arange(len(group) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[k], cuts[k + 1])
+            numbers, which = np.unique(items[own], return_inverse=True)
+            near = self._enough(group[k], numbers)[which]
+            candidates[k] = list(zip(items[own][near].tolist(), places[own][near].tolist()))
         return candidates
 
-    def _verified(self, own: np.ndarray, candidates: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    def _enough(self, text: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Whether the text has as many words of each item as an occurrence within the limit keeps."""
+        sizes = self.sizes[numbers]
+        words = self.words[ranges(self.begin[numbers], sizes)]
+        present = np.unique(text)
+        at = np.minimum(np.searchsorted(present, words), len(present) - 1)
+        common = np.add.reduceat(present[at] == words, np.cumsum(sizes) - sizes, dtype=np.int64)
+        return common >= sizes - (MAX_EDITS * sizes).astype(np.int64)
+
+    def _verified(self, own: np.ndarray, candidates: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """Items within the limit of edits, by the exact distance around each candidate place."""
-        # an item word that the document lacks costs an edit wherever the item may be
-        present = np.unique(own)
-        common = {n: int(np.isin(self.codes[n], present).sum()) for n in {n for n, _ in candidates}}
         best: dict[int, int] = {}
-        checked: dict[int, list[tuple[int, int]]] = {}
-        for number, begin in sorted(candidates):
+        checked: dict[int, tuple[int, int]] = {}
+        for number, begin in candidates:
             item = self.codes[number]
             most = int(MAX_EDITS * len(item))
-            if common[number] < len(item) - most:
-                continue
             start, end = max(0, begin - most), min(len(own), begin + len(item) + most)
-            if best.get(number) == 0 or any(a <= start and end <= b for a, b in checked.get(number, ())):
+            a, b = checked.get(number, (0, 0))
+            if best.get(number) == 0 or (a <= start and end <= b):
                 continue
             # neighbouring windows are verified together
             start, end = max(0, start - most), min(len(own), end + most)
-            checked.setdefault(number, []).append((start, end))
-            if int(np.isin(item, own[start:end]).sum()) < len(item) - most:
+            checked[number] = start, end
+            if not self._enough(own[start:end], np.array([number]))[0]:
                 continue
             distance = infix_distance(item, own[start:end])
             if distance <= most:
