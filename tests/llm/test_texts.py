@@ -235,6 +235,16 @@ def test_recall_with_all_allowed_edits(size, spread):
     assert sum(k in dict(pairs) for k, pairs in enumerate(found)) >= decontamination.RECALL * n
 
 
+def test_short_items_are_found_at_every_place():
+    items = [[f"i{k}w{j}" for j in range(1 + k % 10)] for k in range(200)]
+    own = decontamination.Items([(k, " ".join(w).encode()) for k, w in enumerate(items)] + [(200, b""), (201, None)])
+    codes = decontamination.PlainCodes()
+    for copies in (items, [edited_copies(np.random.default_rng(k), w, True) for k, w in enumerate(items)]):
+        texts = [" ".join(["pre"] * (k // 10) + w + ["post"] * (k % 3)).encode() for k, w in enumerate(copies)]
+        found = own.found_in([codes.of_text(t) for t in texts])
+        assert found == [[(k, edit_distance(items[k], w))] for k, w in enumerate(copies)]
+
+
 def test_decontamination_of_odd_documents(spark, odd_documents, no_documents):
     bench = spark.createDataFrame([(1, " ".join(f"p{k}" for k in range(5, 35)))], "item_id long, text string")
     assert {r["doc_id"] for r in decontamination.find(odd_documents, bench).collect()} == {1, 8, 12, None}

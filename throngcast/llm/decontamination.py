@@ -5,7 +5,9 @@ moves on or not by a random bit that depends on the step and the word. Sequences
 distance get embeddings at a small Hamming distance, as their walks come together again. Keys are
 samples of embedding positions, spread over the walk, repeated over tables and walks. A walk sees
 few words, about as many as stay together wherever the edits are: an item of n words with e edits
-has a stretch of n / (e + 1) words without any. Short items have a scheme of their own.
+has a stretch of n / (e + 1) words without any. Short items have a scheme of their own. Items too
+short for a walk (fewer than ``LEAST_WALKED`` words) are cut into e + 1 stretches, one of which is
+in every copy as it is, so hashes of whole stretches find them all.
 
 Documents are embedded from every word on, and an item from each of its own words that the walks
 do not leave at once, so every stretch of a copy meets windows in line with it. By simulation over
@@ -17,8 +19,9 @@ around it.
 The items are taken as queries in blocks of at most ``BLOCK_WORDS`` words, which bounds what is
 sent to the executors; each block is matched against all documents.
 
-Defined cases: words are lower-cased (A-Z) and stripped of punctuation at both ends. Items of
-fewer than ``LEAST_WORDS`` words identify nothing and are never found; null texts have no words.
+Defined cases: words are lower-cased (A-Z) and stripped of punctuation at both ends. Items
+without a word are never found; shorter ones than five words are found as they are, without any
+edit, also one that is a single frequent word. Null texts have no words.
 Repeated items and documents are handled each on its own; null item ids are kept as they are.
 Other columns are ignored.
 """
@@ -39,7 +42,8 @@ from throngcast.llm.common import CODE_CACHE, U64, WordCodes, doc_frame, mixed,
 
 #: An item is found where the edit distance is at most this share of its words.
 MAX_EDITS = 0.2
-LEAST_WORDS = 8
+#: Words of the shortest item that is looked up by walks.
+LEAST_WALKED = 8
 #: Share of the copies with ``MAX_EDITS`` that are candidates, at every length.
 RECALL = 0.99
 #: Words that an item has left at least where it is embedded.
@@ -105,13 +109,32 @@ class Scheme:
 
 
 #: Items of fewer than 14 words keep stretches of three words, longer ones of four (15 words: three).
-SCHEMES = (Scheme(LEAST_WORDS, 3, 9, 3, 3), Scheme(14, 2, 12, 4, 4))
-#: Room after a document, so that no walk leaves it.
-ROOM = max(scheme.steps for scheme in SCHEMES)
+SCHEMES = (Scheme(LEAST_WALKED, 3, 9, 3, 3), Scheme(14, 2, 12, 4, 4))
 
 
-def scheme_of(words: int) -> Scheme:
-    return max((s for s in SCHEMES if s.least <= words), key=lambda s: s.least)
+class Stretch:
+    """Stretches of so many words, each hashed whole."""
+
+    def __init__(self, words: int):
+        self.factors = multipliers(words, 24)
+
+    def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Keys of the stretches at ``starts``, in one row."""
+        padded = np.concatenate([codes, np.zeros(len(self.factors), U64)])
+        return mixed(sum(padded[starts + k] * factor for k, factor in enumerate(self.factors)))[None]
+
+
+STRETCHES = {words: Stretch(words) for words in range(1, LEAST_WALKED)}
+#: Room after a document, so that no walk or stretch leaves it.
+ROOM = max(LEAST_WALKED, *(scheme.steps for scheme in SCHEMES))
+
+
+def scheme_of(words: int) -> tuple[Scheme | Stretch, np.ndarray]:
+    """How an item of so many words is looked up, and from which of its words on."""
+    if words < LEAST_WALKED:
+        parts = int(MAX_EDITS * words) + 1
+        return STRETCHES[words // parts], np.arange(parts) * (words // parts)
+    return max((s for s in SCHEMES if s.least <= words), key=lambda s: s.least), np.arange(words - LEAST_LEFT + 1)
 
 
 class Index:
@@ -152,12 +175,12 @@ class Items:
     def __init__(self, rows: list[tuple[int | None, bytes | None]]):
         codes = PlainCodes()
         self.ids, self.codes = [], []
-        found: dict[Scheme, list[tuple[np.ndarray, ...]]] = {}
+        found: dict[Scheme | Stretch, list[tuple[np.ndarray, ...]]] = {}
         for item_id, raw in rows:
             own = codes.of_text(raw)
-            if len(own) < LEAST_WORDS:
+            if not len(own):
                 continue
-            scheme, starts = scheme_of(len(own)), np.arange(len(own) - LEAST_LEFT + 1)
+            scheme, starts = scheme_of(len(own))
             key = scheme.keys(own, starts)
             found.setdefault(scheme, []).append((key.ravel(), np.full(key.size, len(self.ids)), np.tile(starts, len(key))))
             self.ids.append(item_id)
