@@ -117,6 +117,36 @@ def test_disguises_map_back_to_the_source(kind, text):
     assert set(base[kind]) <= set(full[kind]) <= {whole, *base[kind]}
 
 
+@pytest.mark.parametrize(
+    ("kind", "text"),
+    [
+        ("email", "jane dot doe at example dot com"), ("email", "jane [dot] m (punkt) doe [at] example.com"),
+        ("email", "jane dot doe at example.com"), ("ip", "one two seven dot zero dot zero dot one"),
+        ("ip", "one zero.0.0.1"), ("ip", "192 dot 168 [dot] zero.one"), ("ip", "eight.eight.eight.eight"),
+    ],
+)
+def test_disguised_dots_in_local_parts_and_ips(kind, text):
+    base, full = pii.all_spans(f"So é {text} end")
+    assert not any(base.values())
+    assert {k: v for k, v in full.items() if v} == {kind: [(5, 5 + len(text))]}
+    assert pii.mask_text(f"So é {text} end") == f"So é [{kind.upper()}] end"
+
+
+def test_disguised_dot_before_a_plain_address():
+    assert pii.mask_text("by jane dot doe@example.com, ok") == "by [EMAIL], ok"
+    assert pii.mask_text("a dot  doe at example dot com") == "a dot  [EMAIL]"
+
+
+@pytest.mark.parametrize("text", ["one dot two dot three", "version one.two", "a dot in the map at noon", "one.two.three.fourth"])
+def test_dots_between_words_are_no_disguise(text):
+    assert not any(pii.all_spans(text)[1].values())
+
+
+@pytest.mark.parametrize("text", ["a dot " * 50_000 + "@", "one dot " * 50_000, "a dot a at b.c " * 20_000, "1 1 1." * 50_000])
+def test_long_runs_of_dots_take_linear_time(text):
+    pii.all_spans(text)
+
+
 @pytest.mark.parametrize("text", ["we meet at noon. dot the i", "look at example.com", "one two three", "a (at) b", "ein Punkt"])
 def test_ordinary_words_are_no_disguise(text):
     assert not any(pii.all_spans(text)[1].values())

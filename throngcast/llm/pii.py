@@ -2,7 +2,7 @@
 
 The transducer rewrites a text character by character or token by token: look-alike letters and
 digits to ASCII, digits written as words to digits, ``at`` and ``dot`` in their usual disguises to
-``@`` and ``.``. Each output character keeps the source span it came from, so identifiers found
+``@`` and ``.``, the latter on both sides of the ``@`` and between the parts of an IP. Each output character keeps the source span it came from, so identifiers found
 in the rewritten text are mapped back to source characters. Plain spans stay as they are; a
 disguised one is added unless a span of its kind covers it.
 
@@ -71,6 +71,15 @@ AT = re.compile(rf"(?P<boxed>{_OPEN}(?:{_AT}|@){_CLOSE})|(?P<word>\s(?:{_AT})\s)
 _ANY_DOT = rf"(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|\s(?:{_DOT})\s|\.)"
 DOT = re.compile(_ANY_DOT, re.I)
 HOST = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:{_ANY_DOT}[A-Za-z0-9-]{{1,63}}){{1,5}}", re.I)
+#: A disguised dot right before a place.
+DOT_BEFORE = re.compile(rf"(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|\s(?:{_DOT})\s)\Z", re.I)
+#: No disguised dot is longer.
+LONGEST_DOT = 8 + max(map(len, DOT_WORDS)) + 2
+_DIGIT = rf"(?:(?:{_SPELLED})(?!\w)|[0-9]+)"
+_PART = rf"{_DIGIT}(?:[ ,-]{{1,2}}{_DIGIT}){{0,2}}"
+#: Four parts of up to three digits or spelled digits each, with dots of any form between them.
+SPELLED_IP = re.compile(rf"(?<!\w){_PART}(?:{_ANY_DOT}{_PART}){{3}}(?!\w)", re.I)
+IP_MEMBER = re.compile(rf"(?P<dot>{_ANY_DOT})|(?P<digit>{_SPELLED}|[0-9]+)|[ ,-]+", re.I)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|\s(?:{_DOT})\s)(?=[0-9])", re.I)
 PLUS_WORD = re.compile(r"(?<!\w)(?:plus|más)\s{1,2}(?=[0-9]{7})", re.I)
 _MARKS = re.compile("[" + re.escape("".join(sorted(_CHARS))) + "]")
@@ -160,6 +169,32 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _spelled_ips(text: str) -> list[tuple[int, int, str]]:
+    """Spelled digits, also single ones, and disguised dots inside the shape of an IP."""
+    edits = []
+    for run in SPELLED_IP.finditer(text):
+        if IP.fullmatch(run[0]) is None:
+            for m in IP_MEMBER.finditer(text, run.start(), run.end()):
+                edits.append((*m.span(), "." if m["dot"] else _DIGITS.get(m[0].lower(), m[0]) if m["digit"] else ""))
+    return edits
+
+
+def _local_dots(text: str, end: int, floor: int) -> list[Span]:
+    """Disguised dots between the tokens of the local part that ends at ``end``, in order."""
+    dots: list[Span] = []
+    while True:
+        start = end
+        while start > floor and text[start - 1] in LOCAL:
+            start -= 1
+        if start == end:  # nothing before the last dot
+            return dots[-2::-1]
+        dot = DOT_BEFORE.search(text, max(floor, start - LONGEST_DOT), start)
+        if dot is None:
+            return dots[::-1]
+        dots.append(dot.span())
+        end = dot.start()
+
+
 def _addresses(text: str) -> list[tuple[int, int, str]]:
     """Disguised ``at`` and ``dot`` inside the shape of an address.
 
@@ -172,12 +207,14 @@ def _addresses(text: str) -> list[tuple[int, int, str]]:
         host = HOST.match(text, at.end())
         if host is None:
             continue
-        dots = [m for m in DOT.finditer(text, host.start(), host.end()) if m[0] != "."]
-        if not dots and not at["boxed"]:
+        before = _local_dots(text, at.start(), end)
+        dots = [m.span() for m in DOT.finditer(text, host.start(), host.end()) if m[0] != "."]
+        if not before and not dots and not at["boxed"]:
             continue
+        edits += [(*span, ".") for span in before]
         if at[0] != "@":
             edits.append((at.start(), at.end(), "@"))
-        edits += [(m.start(), m.end(), ".") for m in dots]
+        edits += [(*span, ".") for span in dots]
         end = host.end()
     return edits
 
@@ -188,6 +225,7 @@ def rewritten(text: str) -> Rewriting | None:
     passes = (
         lambda t: [(m.start(), m.end(), _CHARS[m[0]]) for m in _MARKS.finditer(t)] if not t.isascii() else [],
         _addresses,
+        _spelled_ips,
         _spelled,
         lambda t: [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(t)],
         lambda t: [(m.start(), m.end(), "+") for m in PLUS_WORD.finditer(t)],
