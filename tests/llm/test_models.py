@@ -88,6 +88,24 @@ def test_scores_of_odd_documents(odd_documents, no_documents):
     assert lm_scoring.score(odd_documents, F.lit(True)).count() == odd_documents.count()
 
 
+def test_every_learning_document_trains(documents, monkeypatch):
+    trained, numbers, found = lm_scoring.trained, [], []
+
+    def spy(docs, vocab):
+        numbers.append(docs.count())
+        found.append(trained(docs, vocab))
+        return found[-1]
+
+    monkeypatch.setattr(lm_scoring, "trained", spy)
+    monkeypatch.setattr(lm_scoring, "DOCS_PER_TRAINER", 600)
+    df = documents(*((k, f"a b{k % 5} c{k % 3}", "en") for k in range(2_200)))
+    for merged in (64, 2):
+        monkeypatch.setattr(lm_scoring, "MERGED", merged)
+        assert lm_scoring.score(df, F.col("doc_id") >= 100).count() == 2_200
+    assert numbers == [2_100, 2_100]
+    assert np.allclose(*found, atol=1e-4)
+
+
 def test_slots_of_a_state_sum_to_one():
     network = lm_scoring.Network(np.arange(1024.0))
     h = np.random.default_rng(0).normal(size=(1, lm_scoring.HIDDEN)).astype(np.float32)

@@ -5,10 +5,9 @@ the network's vocabulary; every other word belongs to one of ``GROUPS`` groups b
 is predicted as its group times its share of the group's counts. The output softmax is factored
 into classes of slots.
 
-Training takes one training document in ``RATE``, so it grows with the input, but ``LEAST_DOCS`` at
-least. Trainers run
-in parallel from the same parameters with truncated backpropagation, their results are averaged
-per slice of the parameters, and that is repeated ``ROUNDS`` times. Scoring deals the documents
+Training takes every training document, at every size. Documents travel as slots. Trainers run in
+parallel from the same parameters with truncated backpropagation, their results are averaged per
+slice of the parameters, first among ``MERGED`` trainers, and that is repeated ``ROUNDS`` times. Scoring deals the documents
 into blocks, asks the shards for the counts of their words, and runs the network over whole
 documents, many at a time, with the state carried from window to window.
 
@@ -39,11 +38,9 @@ GROUPS = 63
 WORDS = CLASSES * PER_CLASS - GROUPS - 1
 END = CLASSES * PER_CLASS - 1
 HIDDEN = 24
-#: One training document in so many trains the network; all of them are counted.
-RATE = 32
-#: So many documents train it at least, where there are as many.
-LEAST_DOCS = 2_000
 DOCS_PER_TRAINER = 400
+#: Trainers whose results are averaged in one place before the rest.
+MERGED = 64
 ROUNDS = 2
 STREAMS, WINDOW = 32, 16
 STEP = 0.2
@@ -316,36 +313,51 @@ def score_documents(network: Network, docs: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SLICE = pa.schema([("slice", pa.int64()), ("weight", pa.float64()), ("blob", pa.binary())])
+_SLOTS = pa.schema([("trainer", pa.int64()), ("blob", pa.binary())])
+_SLICE = pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("weight", pa.float64()), ("blob", pa.binary())])
 
 
 def trained(docs: DataFrame, vocab: Vocabulary) -> np.ndarray:
-    """Parameters after ``ROUNDS`` rounds of parallel training and averaging."""
+    """Parameters after ``ROUNDS`` rounds of parallel training on all documents, and averaging."""
     spark = docs.sparkSession
     network = Network(vocab.slot_counts)
     trainers = max(1, math.ceil(docs.select("doc_id").count() / DOCS_PER_TRAINER))
-    dealt = stored(docs.withColumn("trainer", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(trainers))), "training")
     slots = spark.sparkContext.broadcast(vocab)  # of fixed size
+
+    def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = slots.value
+        for batch in batches:
+            texts = [(raw.as_py() or b"").lower().split() for raw in batch["raw"]]
+            blobs = [packed(np.array([*map(known.slot, words), END], np.uint16)) for words in texts]
+            yield from table_of(_SLOTS, trainer=batch["trainer"].to_pylist(), blob=blobs).to_batches()
+
+    own = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(trainers))
+    dealt = stored(docs.select(own.alias("trainer"), "raw").mapInArrow(to_slots, "trainer long, blob binary"), "training")
     for _ in range(ROUNDS):
         start = spark.sparkContext.broadcast(network.flat().astype(np.float32))
 
         def run(table: pa.Table) -> pa.Table:
-            own, known = Network(slots.value.slot_counts), slots.value
+            own = Network(slots.value.slot_counts)
             own.load(start.value)  # noqa: B023
-            texts = [(raw.as_py() or b"").lower().split() for raw in table["raw"]]
-            train(own, [np.array([*map(known.slot, words), END], np.int64) for words in texts])
-            weight = float(sum(map(len, texts)) + len(texts))
+            texts = [unpacked(blob)[0].astype(np.int64) for blob in table["blob"].to_pylist()]
+            train(own, texts)
+            weight, part = float(sum(map(len, texts))), table["trainer"][0].as_py() // MERGED
             parts = np.array_split(own.flat(), SLICES)
-            return table_of(_SLICE, slice=range(SLICES), weight=[weight] * SLICES, blob=[packed(p) for p in parts])
+            return table_of(
+                _SLICE, slice=range(SLICES), part=[part] * SLICES, weight=[weight] * SLICES, blob=[packed(p) for p in parts]
+            )
 
         def average(table: pa.Table) -> pa.Table:
             weights = table["weight"].to_numpy()
             total = sum(w * unpacked(b)[0].astype(np.float64) for w, b in zip(weights, table["blob"].to_pylist()))
-            mean = (total / weights.sum()).astype(np.float32)
-            return table_of(_SLICE, slice=[table["slice"][0].as_py()], weight=[1.0], blob=[packed(mean)])
-
-        shape = "slice long, weight double, blob binary"
-        means = dealt.groupBy("trainer").applyInArrow(run, shape).groupBy("slice").applyInArrow(average, shape).collect()
+            return table_of(
+                _SLICE, slice=[table["slice"][0].as_py()], part=[table["part"][0].as_py()], weight=[float(weights.sum())],
+                blob=[packed(total / weights.sum())],
+            )
+
+        shape = "slice long, part long, weight double, blob binary"
+        results = dealt.groupBy("trainer").applyInArrow(run, shape)
+        means = results.groupBy("slice", "part").applyInArrow(average, shape).groupBy("slice").applyInArrow(average, shape).collect()
         if means:
             network.load(np.concatenate([unpacked(bytes(r["blob"]))[0] for r in sorted(means, key=lambda r: r["slice"])]))
     return network.flat()
@@ -388,11 +400,8 @@ def score(docs: DataFrame, learning: Column) -> DataFrame:
     rows = doc_frame(docs)
     training = rows.where(learning)
     counts = stored(word_counts(training, shards), "counts")
-    n = training.count()
-    vocab = vocabulary(counts, n, shards)
-    share = max(1 / RATE, min(1.0, LEAST_DOCS / max(n, 1)))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(share * 1_000_000)
-    parameters = trained(training.where(chosen), vocab)
+    vocab = vocabulary(counts, training.count(), shards)
+    parameters = trained(training, vocab)
     shared = spark.sparkContext.broadcast((vocab, parameters))  # of fixed size
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
