@@ -103,7 +103,7 @@ def test_service_deficit(evaluate, delay, deficit):
 
 
 def test_service_deficit_rejects_inverted_endpoints():
-    with pytest.raises(ValueError, match="greater"):
+    with pytest.raises(ValueError, match="above"):
         scoring.service_deficit(F.lit(1), 300, 60)
 
 
