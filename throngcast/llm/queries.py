@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from throngcast.llm import (
-    decontamination, language_id, lm_scoring, near_dedup, packing, pii, quality_classifier, quality_rules, substring_dedup,
-    url_filters,
+    decontamination, fill_in_middle, language_id, lm_scoring, near_dedup, packing, periodic_runs, pii, quality_classifier,
+    quality_rules, substring_dedup, token_counts, url_filters,
 )
 from throngcast.llm.common import crc_of_id
 from throngcast.session import configure
@@ -98,6 +98,32 @@ def op10_quality_rules(spark, d):
     return quality_rules.judge(table(spark, d, "documents"), labels)
 
 
+@query
+def op11_token_counts(spark, d):
+    return token_counts.count_tokens(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op12_fill_in_middle(spark, d):
+    made = fill_in_middle.transform(table(spark, d, "documents"), unit="line", seed=7, percent=100, spm_percent=50)
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_periodic_runs(spark, d):
+    found = periodic_runs.collapse(table(spark, d, "documents"), min_length=24, min_exponent=3, prepare=periodic_runs.planted)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def _strength(level: str, units: str) -> str:
     return f"""
 {level}_sums AS (SELECT count(*) AS k, sum(n) AS n, sum(bad) AS y, sum(n * n) AS nn, sum(bad * bad / n) AS yyn
@@ -143,4 +169,16 @@ SELECT page_id, host, path,
     CASE {" ".join(f"WHEN {_fits(r)} THEN '{v.split()[0]}'" for v, r in _FITS.items())}
     WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM parsed LEFT JOIN bounds USING (host)""",
+    "op12_fill_in_middle": """
+WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS l, sha256('7:' || doc_id) AS h FROM documents),
+numbers AS (SELECT *, len(l) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM drawn),
+parts AS (SELECT *, array_to_string(l[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+    array_to_string(l[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+    array_to_string(l[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s,
+    CASE WHEN doc_id IS NULL OR t = '' OR regexp_matches(t, '<[PSM]>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts""",
 }
