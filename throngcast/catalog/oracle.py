@@ -554,4 +554,7 @@ _SELECTS: dict[str, str] = {
     "upsert_latest": f"SELECT {CONDITION_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY updated_at DESC) AS rn FROM conditions) WHERE rn = 1",
 }
 
+# Queries with the answer of another one.
+_SELECTS["stream_escalations_state"] = _SELECTS["escalations"]
+
 ORACLE_SQL: dict[str, str] = {name: _with(select) for name, select in _SELECTS.items()}

@@ -11,6 +11,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from throngcast.catalog import adapters as A
 from throngcast.functions import geo, scoring, text, times, weather
@@ -868,3 +869,16 @@ def stream_escalations(spark, d):
     feed = _files_in_turn(spark, "scored", *rows)
     jobs.watch_escalations(feed, state, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
     return writers.batch_table(spark, out, SCORED)
+
+
+@query
+def stream_escalations_state(spark, d):
+    """All changes to SEVERE by keyed state; a row two days later moves the watermark past the rest."""
+    closing, out = scratch_path(spark, "end-of-scored"), scratch_path(spark, "escalations")
+    last = A.events(spark, d).agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("event_timestamp"))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in SCORED if f.name != "event_timestamp"]
+    writers.write_parquet(last.select("event_timestamp", *missing).fillna({"station_complex_id": "end"}).select(SCORED.fieldNames()), closing)
+    feed = A.scored_history(A.events_stream(spark, d)).unionByName(readers.file_stream(spark, closing, SCORED))
+    with state_partitions(spark, STATE_WIDTH):
+        jobs.track_escalations(feed, out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
+    return spark.read.schema(T.StructType([*SCORED.fields, T.StructField("previous_level", T.StringType())])).parquet(out)

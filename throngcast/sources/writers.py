@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from throngcast.operators.dedupe import latest_by_key
+from throngcast.sources.files import complete_numbers, delete_folder, exists, rename
 
 BATCH_COLUMN = "batch_id"
 
@@ -95,17 +96,42 @@ def append_batch(df: DataFrame, batch_id: int, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{BATCH_COLUMN}={int(batch_id)}")
 
 
+def publish_batch(df: DataFrame, batch_id: int, path: str) -> bool:
+    """Write one micro-batch as its own partition of ``path``, once: false where it is there already.
+
+    The folder is renamed into place when it is whole, and a retry leaves it alone, so a stream that
+    reads ``path`` meets each file once.
+    """
+    spark, name = df.sparkSession, f"{BATCH_COLUMN}={int(batch_id)}"
+    if exists(spark, f"{path}/{name}"):
+        return False
+    staged = f"{path}/_staging/{name}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    rename(spark, staged, f"{path}/{name}")
+    return True
+
+
+def publish_snapshot(df: DataFrame, path: str, *, keep: int = 3) -> int:
+    """Write a table anew as the newest snapshot of ``path`` and return its number.
+
+    Readers go on with the snapshot they have, ``keep`` of which stay. A table has one writer.
+    """
+    spark = df.sparkSession
+    ids = snapshot_ids(spark, path)
+    number = ids[-1] + 1 if ids else 0
+    append_batch(df, number, path)
+    for old in ids[: max(0, len(ids) + 1 - keep)]:
+        delete_folder(spark, f"{path}/{BATCH_COLUMN}={old}")
+    return number
+
+
 def batch_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The batches below ``path`` with ``BATCH_COLUMN``; empty before the first one, and where all are empty."""
+    """The complete batches below ``path`` with ``BATCH_COLUMN``; empty before the first one, and where all are empty."""
     full = T.StructType([*schema.fields, T.StructField(BATCH_COLUMN, T.LongType())])
-    if not _exists(spark, path):
+    paths = [f"{path}/{BATCH_COLUMN}={n}" for n in snapshot_ids(spark, path)]
+    if not paths:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return spark.read.schema(full).option("basePath", path).parquet(*paths)
 
 
 def keyed_view(
@@ -131,19 +157,13 @@ def merge_batch(
     newest = latest_by_key(before.withColumn("_n", F.lit(0)).unionByName(df.withColumn("_n", F.lit(1))), keys, [*order_by, "_n"])
     append_batch(newest.drop("_n"), batch_id, path)
     for old in earlier[: max(0, len(earlier) + 1 - keep)]:
-        _delete(spark, f"{path}/{BATCH_COLUMN}={old}")
+        delete_folder(spark, f"{path}/{BATCH_COLUMN}={old}")
     return before
 
 
 def snapshot_ids(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete batches below ``path``, in order: as many names as batches are kept."""
-    if not _exists(spark, path):
-        return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in system.listStatus(target)]
-    ids = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BATCH_COLUMN}="))
-    return [n for n in ids if _exists(spark, f"{path}/{BATCH_COLUMN}={n}/_SUCCESS")]
+    return complete_numbers(spark, path, BATCH_COLUMN)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
@@ -154,11 +174,6 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, batch_id
     return spark.read.schema(schema).parquet(f"{path}/{BATCH_COLUMN}={ids[-1]}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def expire(spark: SparkSession, path: str, schema: T.StructType, as_of: Column, *, column: str = "inserted_at", hours: int = 24) -> int:
     """Delete the oldest batches of a micro-batch table whose rows have all expired; returns how many.
 
@@ -170,7 +185,7 @@ def expire(spark: SparkSession, path: str, schema: T.StructType, as_of: Column,
         rows = read_snapshot(spark, path, schema, batch_id)
         if not within_retention(rows, as_of, column=column, hours=hours).isEmpty():
             break
-        _delete(spark, f"{path}/{BATCH_COLUMN}={batch_id}")
+        delete_folder(spark, f"{path}/{BATCH_COLUMN}={batch_id}")
         gone += 1
     return gone
 
