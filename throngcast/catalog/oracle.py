@@ -555,6 +555,13 @@ _SELECTS: dict[str, str] = {
 }
 
 # Queries with the answer of another one.
-_SELECTS["stream_escalations_state"] = _SELECTS["escalations"]
+for _name, _other in (
+    ("stream_escalations_state", "escalations"),
+    ("baseline_incremental", "capacity_baseline"),
+    ("station_max_incremental", "station_max"),
+    ("audit_vehicles_incremental", "audit_vehicles"),
+    ("incremental_page", "incremental_extract"),
+):
+    _SELECTS[_name] = _SELECTS[_other]
 
 ORACLE_SQL: dict[str, str] = {name: _with(select) for name, select in _SELECTS.items()}

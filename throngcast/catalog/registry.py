@@ -21,14 +21,14 @@ from throngcast.operators.history import forward_fill
 from throngcast.operators.profile import profile_columns, sample_rows
 from throngcast.operators.sliding import sliding_average
 from throngcast.plans import baseline as B
-from throngcast.plans import ingest, live, quality, ridership, schedule, serving
+from throngcast.plans import incremental, ingest, live, quality, ridership, schedule, serving
 from throngcast.plans import scoring as scores
 from throngcast.plans import signal as signals
 from throngcast.plans import weather as daily_weather
 from throngcast.plans.bridge import Bridge, bridge_summary
 from throngcast.schemas import SCORED
 from throngcast.session import configure, scratch_path
-from throngcast.sources import readers, writers
+from throngcast.sources import paging, readers, writers
 from throngcast.sources.columns import HeaderLookup
 from throngcast.streaming import jobs
 from throngcast.streaming.runner import ONCE_THROUGH, state_partitions, to_parquet
@@ -736,6 +736,47 @@ def backtest_thresholds(spark, d):
     return quality.backtest_thresholds(A.labelled_events(A.table(spark, d, "orders")))
 
 
+# --- states that merge, pages ------------------------------------------------
+
+
+@query
+def baseline_incremental(spark, d):
+    """Baseline from states per day: all days but the newest written first, then that one added."""
+    table, states = scratch_path(spark, "ridership-by-date"), scratch_path(spark, "baseline-states")
+    writers.write_parquet(_joined(spark, d), table, partition_by=["date"])
+    stored = readers.read_table(spark, table)
+    newest = stored.agg(F.max("date")).first()[0]
+    incremental.add_baseline_days(stored.where(F.col("date") < F.lit(newest)), states)
+    if newest is not None:
+        incremental.add_baseline_days(stored, states, days=[str(newest)])
+    return incremental.baseline_from_states(readers.read_table(spark, states), lookback_days=LOOKBACK_DAYS)[0]
+
+
+@query
+def station_max_incremental(spark, d):
+    states = scratch_path(spark, "baseline-states")
+    incremental.add_baseline_days(_joined(spark, d), states)
+    return incremental.baseline_from_states(readers.read_table(spark, states), lookback_days=LOOKBACK_DAYS)[1]
+
+
+@query
+def audit_vehicles_incremental(spark, d):
+    """The audit from one row per day; distinct counts are estimates, exact for as few values as here."""
+    states = scratch_path(spark, "vehicle-audit")
+    incremental.add_audit_days(_vehicles(spark, d), states, ["station_complex_id", "route_id"])
+    return incremental.audit_vehicles_from_states(incremental.read_states(spark, states))
+
+
+@query
+def incremental_page(spark, d):
+    """The page of ``incremental_extract`` from files in order."""
+    path, order = scratch_path(spark, "events-in-order"), ["ts", "event_id"]
+    paging.write_clustered(A.events(spark, d), path, order, files=16)
+    return paging.read_page(
+        spark, path, ["ts", "event_id", "user_id", "value"], order, since="2024-01-15 00:00:00", limit=500, offset=100
+    )
+
+
 # --- streams -----------------------------------------------------------------
 
 
