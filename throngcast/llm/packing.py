@@ -14,8 +14,9 @@ no pieces. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,13 @@ END_ID = 1
 LOOSE_END = b".,;:!?*%&$#|"
 #: What ends the tokens that close a word, and words encoded as one text.
 WORD_END, ENCODED_AT_ONCE = "</w>", 2_000
+#: Bytes of texts whose new words are learnt together.
+GROUP_BYTES = 1 << 20
+#: Letters below are composed and have lower cases of one letter, but for the dotted capital I.
+BEYOND_LATIN, DOTTED_I = "\u0250", "\u0130"
+#: How byte-level merges write a byte: printable Latin-1 signs as they are, others in order from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_SIGNS = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 #: Words whose ids a Python worker remembers, twice at most.
 CACHED_WORDS = 250_000
 #: Parts into which the pieces of one length are dealt for ranking.
@@ -52,14 +60,27 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
+        self.model = self.tokenizer.model
         self.closes = np.array([(self.tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
         self.recent: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
 
+    def _merged(self, word: bytes) -> bytes | None:
+        """Ids of a word of Latin letters by the model's merges alone: as lower case it is one unit,
+        composed already. None for other words."""
+        if word.isalpha():
+            text = word.decode().lower()
+        else:
+            text = word.decode()
+            if not text.isalpha() or max(text) >= BEYOND_LATIN or DOTTED_I in text:
+                return None
+            text = text.lower().encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of each word. Words of letters only are one unit of the tokenizer, whose last token
         closes a word: they are encoded as one text and taken apart at these tokens."""
-        plain = [w for w in words if w.isalpha() or w.decode().isalpha()]
+        plain = [w for w in words if w.decode().isalpha()]
         found: dict[bytes, bytes] = {}
         for start in range(0, len(plain), ENCODED_AT_ONCE):
             part = plain[start : start + ENCODED_AT_ONCE]
@@ -76,30 +97,56 @@ class WordIds:
 
     def _learn(self, words: set[bytes]) -> None:
         """Remember the words' ids; a loose ending after a letter or digit is encoded on its own."""
+        recent, before, merged = self.recent, self.before, self._merged
         parts: dict[bytes, tuple[bytes, ...]] = {}
+        missing: list[bytes] = []
         for word in words:
+            ids = merged(word)
+            if ids is not None:
+                recent[word] = ids
+                continue
             stem = word.rstrip(LOOSE_END)
-            loose = len(stem) < len(word) and stem[-1:].isalnum() and b"<|" not in word and b"'" not in word
-            parts[word] = (stem, word[len(stem) :]) if loose else (word,)
-        ids = {p: self.recent.get(p) or self.before.get(p) for own in parts.values() for p in own}
-        missing = [p for p, known in ids.items() if known is None]
-        ids.update(self._encode(missing))
-        self.recent.update(ids)
-        self.recent.update({word: b"".join(ids[p] for p in own) for word, own in parts.items()})
+            if len(stem) < len(word) and stem[-1:].isalnum() and b"<|" not in word and b"'" not in word:
+                parts[word] = (stem, word[len(stem) :])
+                for part in parts[word]:
+                    if part not in recent:
+                        ids = before.get(part) or merged(part)
+                        if ids is None:
+                            missing.append(part)
+                        else:
+                            recent[part] = ids
+            else:
+                missing.append(word)
+        if missing:
+            recent.update(self._encode(list(dict.fromkeys(missing))))
+        recent.update({word: recent[stem] + recent[end] for word, (stem, end) in parts.items()})
+
+    def of_all(self, raws: Iterable[bytes | None]) -> Iterator[bytes]:
+        """``of`` for each text; the new words of a group of texts are learnt together."""
+        group, held = [], 0
+        for raw in raws:
+            group.append(raw or b"")
+            held += len(group[-1])
+            if held > GROUP_BYTES:
+                yield from self._of_group(group)
+                group, held = [], 0
+        yield from self._of_group(group)
+
+    def _of_group(self, texts: list[bytes]) -> list[bytes]:
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        if len(self.recent) > CACHED_WORDS:
+            self.recent, self.before = {}, self.recent
+        unknown = set().union(*split).difference(self.recent)
+        again = unknown & self.before.keys()
+        self.recent.update({w: self.before[w] for w in again})
+        if len(again) < len(unknown):
+            self._learn(unknown - again)
+        ids, end = self.recent.__getitem__, END_ID.to_bytes(4, "little")
+        return [b"".join(map(ids, words)) + end for words in split]
 
     def of(self, raw: bytes | None) -> bytes:
         """Ids as unsigned little-endian 32-bit numbers, the end id last."""
-        text = raw or b""
-        words = text.split() if b"<|" in text else text.lower().split()
-        if len(self.recent) > CACHED_WORDS:
-            self.recent, self.before = {}, self.recent
-        unknown = set(words).difference(self.recent)
-        if unknown:
-            again = unknown & self.before.keys()
-            self.recent.update({w: self.before[w] for w in again})
-            if len(again) < len(unknown):
-                self._learn(unknown - again)
-        return b"".join(map(self.recent.__getitem__, words)) + END_ID.to_bytes(4, "little")
+        return self._of_group([raw or b""])[0]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -119,8 +166,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN) -> Data
         words = word_ids(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, raw in zip(batch["doc_id"].to_pylist(), batch["raw"]):
-                ids = words.of(raw.as_py())
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), words.of_all(raw.as_py() for raw in batch["raw"])):
                 n = len(ids) // 4
                 for start in range(0, n, max_len):
                     part = ids[4 * start : 4 * (start + max_len)]
