@@ -187,7 +187,7 @@ def short_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         words = word_ids(tokenizer_path)
         for batch in batches:
             raws = [raw.as_py() or b"" for raw in batch["raw"]]
-            tokens = [len(words.of(raw)) // 4 - 1 for raw in raws]  # without the end id
+            tokens = [len(ids) // 4 - 1 for ids in words.of_all(raws)]  # without the end id
             yield from table_of(_COUNTED, doc_id=batch["doc_id"].to_pylist(), n_bytes=[*map(len, raws)], n_tokens=tokens).to_batches()
 
     return docs.mapInArrow(run, COUNTED)
