@@ -38,11 +38,12 @@ GROUPS = 63
 WORDS = CLASSES * PER_CLASS - GROUPS - 1
 END = CLASSES * PER_CLASS - 1
 HIDDEN = 24
-DOCS_PER_TRAINER = 400
+DOCS_PER_TRAINER = 4_000
 #: Trainers whose results are averaged in one place before the rest.
 MERGED = 64
-ROUNDS = 2
-STREAMS, WINDOW = 32, 16
+ROUNDS = 1
+#: Streams that a trainer reads side by side, unless it would take fewer steps than the least.
+STREAMS, WINDOW, LEAST_STEPS = 384, 16, 200
 STEP = 0.2
 #: Documents scored side by side, and steps per window when scoring.
 ABREAST, SCORED_WINDOW = 512, 32
@@ -214,41 +215,55 @@ class Network:
             grads["cw"] += h.T @ d
             grads["cb"] += d.sum(axis=0)
             dh = d @ self.p["cw"].T
+        # within the classes: tokens sorted by class, products class by class, the rest at once
         order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            at = order[cuts[c] : cuts[c + 1]]
-            own = np.clip(h[at] @ self.p["sw"][c] + self.p["sb"][c], -LARGEST, LARGEST)
-            e = np.exp(own)
-            total = e @ np.ones(PER_CLASS, e.dtype)
-            k = np.arange(len(at))
-            log[at] += own[k, within[at]] - np.log(total)
-            if grads is not None:
-                d = e / total[:, None]
-                d[k, within[at]] -= 1
-                grads["sw"][c] += h[at].T @ d
-                grads["sb"][c] += d.sum(axis=0)
-                dh[at] += d @ self.p["sw"][c].T
+        cls, within, states = cls[order], within[order], h[order]
+        cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        held = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
+        own = self.p["sb"][cls]
+        for c, at in held:
+            own[at] += states[at] @ self.p["sw"][c]
+        np.clip(own, -LARGEST, LARGEST, out=own)
+        e = np.exp(own)
+        total = e @ np.ones(PER_CLASS, e.dtype)
+        log[order] += own[rows, within] - np.log(total)
+        if grads is not None:
+            e /= total[:, None]
+            e[rows, within] -= 1
+            back = np.empty_like(states)
+            for c, at in held:
+                grads["sw"][c] += states[at].T @ e[at]
+                grads["sb"][c] += e[at].sum(axis=0)
+                back[at] = e[at] @ self.p["sw"][c].T
+            dh[order] += back
         return log, dh
 
     def backward(self, tape: list, dhs: np.ndarray, slots: np.ndarray, grads: dict) -> None:
         """Truncated backpropagation through the steps on the tape."""
-        dh = np.zeros_like(dhs[0])
-        dx = np.empty((len(tape), dhs.shape[1], 3 * HIDDEN), np.float32)
+        before, fresh, z, r, n, own = (np.stack(part) for part in zip(*tape))
+        # what a state's gradient is multiplied by on its way to each gate, for all steps at once
+        to_n = (1 - z) * (1 - n * n)
+        to_z = (before - n) * z * (1 - z)
+        to_r = own * r * (1 - r)
+        dx, back = (np.empty((*dhs.shape[:2], 3 * HIDDEN), dhs.dtype) for _ in range(2))
+        dh, u = np.zeros_like(dhs[0]), np.ascontiguousarray(self.p["u"].T)
         for t in range(len(tape) - 1, -1, -1):
-            before, fresh, z, r, n, own = tape[t]
             dh = dh + dhs[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * own * r * (1 - r)
-            back = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += before.T @ back
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
+            dn = dh * to_n[t]
+            np.multiply(dh, to_z[t], out=dx[t, :, :HIDDEN])
+            np.multiply(dn, to_r[t], out=dx[t, :, HIDDEN : 2 * HIDDEN])
+            dx[t, :, 2 * HIDDEN :] = dn
+            back[t] = dx[t]
+            back[t, :, 2 * HIDDEN :] *= r[t]
             # nothing flows back over the start of a document
-            dh = (dh * z + back @ self.p["u"].T) * fresh
+            dh = (dh * z[t] + back[t] @ u) * fresh[t]
+        grads["u"] += before.reshape(-1, HIDDEN).T @ back.reshape(-1, 3 * HIDDEN)
         dx = dx.reshape(-1, 3 * HIDDEN)
         grads["b"] += dx.sum(axis=0)
-        np.add.at(grads["x"], slots.ravel(), dx)
+        order = np.argsort(slots.ravel(), kind="stable")
+        own = slots.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        grads["x"][own[first]] += np.add.reduceat(dx[order], first, axis=0)
 
 
 def train(network: Network, docs: list[np.ndarray]) -> None:
@@ -257,7 +272,7 @@ def train(network: Network, docs: list[np.ndarray]) -> None:
         return
     docs = sorted(docs, key=lambda d: zlib.crc32(d.tobytes()))
     whole = np.concatenate(docs)
-    streams = min(STREAMS, max(1, len(whole) // WINDOW))
+    streams = min(STREAMS, max(1, len(whole) // (WINDOW * LEAST_STEPS)))
     steps = len(whole) // streams
     targets = whole[: steps * streams].reshape(streams, steps).T
     # the token before each one; a document begins after an end
