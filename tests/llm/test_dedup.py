@@ -126,3 +126,31 @@ def test_sketches_estimate_similarity():
             if hasher.linked(a, b):
                 bits = [hasher.sketch(hasher.samples(x)).view(np.uint64) for x in (a, b)]
                 assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= hasher.most_bits()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sketch_filter_keeps_pairs_at_the_threshold(percent):
+    """The filter's limit lies as many deviations beyond pairs at the threshold as ``MISS`` asks."""
+    hasher, rng = near_dedup.MinHasher(percent=percent), np.random.default_rng(percent)
+    for union in (70, 100, 160, 250, 400):
+        both, bits = -(-percent * union // 100), []
+        half = both + (union - both) // 2
+        for _ in range(1200):
+            pool = rng.integers(0, 2**64, union, dtype=np.uint64)
+            a, b = np.unique(pool[:half]), np.unique(np.concatenate([pool[:both], pool[half:]]))
+            x, y = (hasher.sketch(hasher.samples(v)).view(np.uint64) for v in (a, b))
+            bits.append(int(np.bitwise_count(x ^ y).sum()))
+        estimates = 1 + np.log(1 - 2 * np.array(bits) / near_dedup.SKETCH_BITS) * near_dedup.SKETCH_BITS / 4 / near_dedup.SAMPLES
+        assert hasher.plausible(np.array(bits)).all()
+        assert (estimates.mean() - (percent / 100 - hasher.margin)) / estimates.std() > 4.5
+
+
+def test_an_id_with_several_texts_links_through_all_of_them(spark):
+    """One text of document 3 is close to document 1, the other to document 2, on any partitioning."""
+    a, b = (" ".join(f"{x}{k}" for k in range(200)) for x in "ab")
+    rows = [(1, a), (2, b), (3, a + " tail"), (3, b + " tail"), (3, "other words"), (4, "other words")]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        for parts in (1, 3):
+            df = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+            found = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.classes(df).collect()}
+            assert found == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False)}
