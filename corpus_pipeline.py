@@ -1,5 +1,10 @@
 """Corpus pipeline: documents in, packed training sequences out.
 
+Defined cases, for every stage: a null text is the empty one and is kept where nothing rejects it;
+rows without an id are kept, as no decision names them; rows that repeat an id share its decision,
+and after the near-duplicate stage each id has one row; an empty table gives an empty table; columns
+beyond those of ``documents`` are left behind.
+
 Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and read back as the
 documents of the next one. All stages but the last return the columns of ``documents``.
 """
@@ -33,11 +38,14 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    """Of rows that repeat an id one stays. Texts move only where ids are repeated."""
+    """Of rows that repeat an id the one stays whose text has the smallest hash, then the smallest
+    columns: the same at every run. Texts move only where ids are repeated."""
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if repeated.isEmpty():
         return docs
-    return _without(docs, repeated).unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    rows = docs.join(repeated, "doc_id", "left_semi")
+    first = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("_h"), *COLUMNS[1:])).alias("_row"))
+    return _without(docs, repeated).unionByName(first.select("doc_id", "_row.*").select(*COLUMNS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
