@@ -110,3 +110,13 @@ def test_nothing_else_needs_the_subpackage():
 def test_scans_read_what_they_need(spark):
     df = queries.QUERIES["op9_pii"](spark, SF_DIR)
     assert "html" not in df._jdf.queryExecution().executedPlan().toString() and df.where(F.col("doc_id").isNull()).count() == 0
+
+
+def test_one_row_of_a_repeated_id_stays_the_same(documents):
+    rows = [(1, "a text", "en"), (1, "another text", "de"), (1, None, None), (2, "alone", "en"), (None, "x", None), (None, "x", None)]
+    found = set()
+    for order in (rows, rows[::-1]):
+        for parts in (1, 3):
+            kept = corpus_pipeline._one_row_per_id(documents(*order).repartition(parts)).select("doc_id", "text").collect()
+            found.add(tuple(sorted(map(tuple, kept), key=str)))
+    assert len(found) == 1 and [r[0] for r in found.pop()].count(1) == 1
