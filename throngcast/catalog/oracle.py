@@ -454,6 +454,8 @@ _SELECTS: dict[str, str] = {
         WHERE station_complex_id = '7' AND inserted_at >= {AS_OF} - INTERVAL 48 HOUR""",
     "forecast_next_hour": f"SELECT station_complex_id, hour_of_day AS next_hour, day_of_week, {_r('avg_entries', 'p95_entries')} FROM baseline "
     "WHERE weather_bucket = 'clear' AND day_of_week = dayofweek(DATE '2024-01-30') + 1 AND hour_of_day = 9",
+    "forecast_lookup": f"SELECT station_complex_id, hour_of_day AS next_hour, day_of_week, {_r('avg_entries', 'p95_entries')} FROM baseline "
+    "WHERE station_complex_id = '7' AND weather_bucket = 'clear' AND day_of_week = dayofweek(DATE '2024-01-30') + 1 AND hour_of_day = 9",
     "baseline_profile": "SELECT station_complex_id, hour_of_day, round(avg(avg_entries), 6) AS avg_entries FROM baseline WHERE weather_bucket = 'clear' GROUP BY ALL",
     "station_profile": f"SELECT hour_of_day, {_r('avg_entries')} FROM baseline WHERE weather_bucket = 'clear' AND station_complex_id = '7'",
     "forecast_delta": """
@@ -545,6 +547,10 @@ _SELECTS: dict[str, str] = {
         SELECT window_start, (n * CASE WHEN epoch_ms(window_start) + 10000 > epoch_ms((SELECT max(ts) FROM events)) - 30000
                THEN 3 ELSE 2 END)::BIGINT AS msg_count
         FROM (SELECT make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS window_start, count(*) AS n FROM events GROUP BY ALL)""",
+    "stream_late_rows": """
+        SELECT window_start, n AS late_count
+        FROM (SELECT make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS window_start, count(*) AS n FROM events GROUP BY ALL)
+        WHERE epoch_ms(window_start) + 10000 <= epoch_ms((SELECT max(ts) FROM events)) - 30000""",
     "stream_escalations": f"""
         SELECT {SCORED_COLUMNS}, (2 - rn)::BIGINT AS batch_id FROM (
             SELECT *, row_number() OVER w AS rn, lead(alert_level) OVER w AS previous_level FROM scored
@@ -561,6 +567,8 @@ for _name, _other in (
     ("station_max_incremental", "station_max"),
     ("audit_vehicles_incremental", "audit_vehicles"),
     ("incremental_page", "incremental_extract"),
+    ("station_profile_lookup", "station_profile"),
+    ("busiest_parts", "top_stations"),
 ):
     _SELECTS[_name] = _SELECTS[_other]
 

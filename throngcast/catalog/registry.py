@@ -17,6 +17,7 @@ from throngcast.catalog import adapters as A
 from throngcast.functions import geo, scoring, text, times, weather
 from throngcast.operators import sets
 from throngcast.operators.dedupe import first_by_key
+from throngcast.operators.heavy import busiest_keys
 from throngcast.operators.history import forward_fill
 from throngcast.operators.profile import profile_columns, sample_rows
 from throngcast.operators.sliding import sliding_average
@@ -26,11 +27,11 @@ from throngcast.plans import scoring as scores
 from throngcast.plans import signal as signals
 from throngcast.plans import weather as daily_weather
 from throngcast.plans.bridge import Bridge, bridge_summary
-from throngcast.schemas import SCORED
+from throngcast.schemas import CAPACITY_BASELINE, SCORED
 from throngcast.session import configure, scratch_path
-from throngcast.sources import paging, readers, writers
+from throngcast.sources import lookup, paging, readers, writers
 from throngcast.sources.columns import HeaderLookup
-from throngcast.streaming import jobs
+from throngcast.streaming import jobs, late
 from throngcast.streaming.runner import ONCE_THROUGH, state_partitions, to_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -777,6 +778,29 @@ def incremental_page(spark, d):
     )
 
 
+def _cells_of_station(spark, d) -> DataFrame:
+    """The baseline laid out by station, and the cells of one read from its bucket."""
+    path = scratch_path(spark, "baseline-by-station")
+    lookup.publish_lookup(_baseline(spark, d)[0], path, "station_complex_id", buckets=16)
+    return lookup.find_keys(spark, path, CAPACITY_BASELINE, "station_complex_id", [STATION])
+
+
+@query
+def forecast_lookup(spark, d):
+    return serving.forecast_next_hour(_cells_of_station(spark, d), as_of("2024-01-30 08:15:00"), station=STATION)
+
+
+@query
+def station_profile_lookup(spark, d):
+    return serving.station_profile(_cells_of_station(spark, d), STATION)
+
+
+@query
+def busiest_parts(spark, d):
+    by_part = A.table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("station_complex_id"))
+    return busiest_keys(by_part)
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -898,6 +922,18 @@ def stream_late_data(spark, d):
     return jobs.current_counts(spark, out).select(F.col("start").alias("window_start"), "msg_count")
 
 
+@query
+def stream_late_rows(spark, d):
+    """Per window, the rows that ``stream_late_data`` drops from the same feed."""
+    events = A.events(spark, d).select("ts")
+    feed = _files_in_turn(spark, "late-events", events, events, events)
+    out = scratch_path(spark, "late-rows")
+    late.mark_late(feed, "ts", out, f"{out}-checkpoint", trigger=ONCE_THROUGH).awaitTermination()
+    window = F.window("ts", "10 seconds").alias("window")
+    dropped = late.late_rows(spark, out, events.schema).groupBy(window).agg(F.count(F.lit(1)).alias("late_count"))
+    return dropped.select(F.col("window.start").alias("window_start"), "late_count")
+
+
 @query
 def stream_escalations(spark, d):
     """Live escalations: the history up to each station's last row but one, then the last rows."""

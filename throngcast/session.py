@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Joined inputs wait for the slowest feed; the other policy would drop its rows as late.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 
