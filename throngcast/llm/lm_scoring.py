@@ -191,49 +191,66 @@ class Network:
 
     def step(self, inputs: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """Next state; also the gates, for the way back."""
-        gates, own = inputs, h @ self.p["u"]
-        zr = 1 / (1 + np.exp(-(gates[:, : 2 * HIDDEN] + own[:, : 2 * HIDDEN])))
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(gates[:, 2 * HIDDEN :] + r * own[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n, own[:, 2 * HIDDEN :]
+        own = h @ self.p["u"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2)
+        zr = own[:2] + inputs[:2]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r = zr
+        n = r * own[2]
+        n += inputs[2]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, own[2]
 
     def inputs(self, slots: np.ndarray) -> np.ndarray:
-        return self.p["x"][slots] + self.p["b"]
+        """What the slots feed each gate, by step: one contiguous array a gate."""
+        rows = (self.p["x"] + self.p["b"]).reshape(-1, 3, HIDDEN).transpose(1, 0, 2)
+        return np.moveaxis(np.ascontiguousarray(rows).take(slots, axis=1), 0, -3)
 
     def outputs(self, h: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probability of each target slot after its state, and the gradient for the state."""
         cls, within = targets % CLASSES, targets // CLASSES
         rows = np.arange(len(targets))
-        logits = np.clip(h @ self.p["cw"] + self.p["cb"], -LARGEST, LARGEST)
-        e = np.exp(logits)
+        e = h @ self.p["cw"]
+        e += self.p["cb"]
+        np.clip(e, -LARGEST, LARGEST, out=e)
+        log = e[rows, cls]
+        np.exp(e, out=e)
         total = e @ np.ones(CLASSES, e.dtype)
-        log = logits[rows, cls] - np.log(total)
+        log -= np.log(total)
         dh = None
         if grads is not None:
-            d = e / total[:, None]
+            d = e
+            d /= total[:, None]
             d[rows, cls] -= 1
             grads["cw"] += h.T @ d
-            grads["cb"] += d.sum(axis=0)
+            grads["cb"] += np.ones(len(d), d.dtype) @ d
             dh = d @ self.p["cw"].T
         # within the classes: tokens sorted by class, products class by class, the rest at once
-        order = np.argsort(cls, kind="stable")
-        cls, within, states = cls[order], within[order], h[order]
+        order = np.argsort(cls.astype(np.uint8), kind="stable")
+        cls, within, states = cls[order], within[order], h.take(order, axis=0)
         cuts = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
         held = [(c, slice(cuts[c], cuts[c + 1])) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
-        own = self.p["sb"][cls]
+        e = np.empty((len(targets), PER_CLASS), h.dtype)
         for c, at in held:
-            own[at] += states[at] @ self.p["sw"][c]
-        np.clip(own, -LARGEST, LARGEST, out=own)
-        e = np.exp(own)
+            np.matmul(states[at], self.p["sw"][c], out=e[at])
+            e[at] += self.p["sb"][c]
+        np.clip(e, -LARGEST, LARGEST, out=e)
+        picked = e[rows, within]
+        np.exp(e, out=e)
         total = e @ np.ones(PER_CLASS, e.dtype)
-        log[order] += own[rows, within] - np.log(total)
+        log[order] += picked - np.log(total)
         if grads is not None:
             e /= total[:, None]
             e[rows, within] -= 1
             back = np.empty_like(states)
             for c, at in held:
                 grads["sw"][c] += states[at].T @ e[at]
-                grads["sb"][c] += e[at].sum(axis=0)
+                grads["sb"][c] += np.ones(at.stop - at.start, e.dtype) @ e[at]
                 back[at] = e[at] @ self.p["sw"][c].T
             dh[order] += back
         return log, dh
@@ -245,25 +262,26 @@ class Network:
         to_n = (1 - z) * (1 - n * n)
         to_z = (before - n) * z * (1 - z)
         to_r = own * r * (1 - r)
-        dx, back = (np.empty((*dhs.shape[:2], 3 * HIDDEN), dhs.dtype) for _ in range(2))
-        dh, u = np.zeros_like(dhs[0]), np.ascontiguousarray(self.p["u"].T)
+        dx, dh, u = np.empty((3, *dhs.shape), dhs.dtype), np.zeros_like(dhs[0]), self.p["u"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0)
         for t in range(len(tape) - 1, -1, -1):
             dh = dh + dhs[t]
-            dn = dh * to_n[t]
-            np.multiply(dh, to_z[t], out=dx[t, :, :HIDDEN])
-            np.multiply(dn, to_r[t], out=dx[t, :, HIDDEN : 2 * HIDDEN])
-            dx[t, :, 2 * HIDDEN :] = dn
-            back[t] = dx[t]
-            back[t, :, 2 * HIDDEN :] *= r[t]
+            np.multiply(dh, to_z[t], out=dx[0, t])
+            np.multiply(dh, to_n[t], out=dx[2, t])
+            np.multiply(dx[2, t], to_r[t], out=dx[1, t])
             # nothing flows back over the start of a document
-            dh = (dh * z[t] + back[t] @ u) * fresh[t]
-        grads["u"] += before.reshape(-1, HIDDEN).T @ back.reshape(-1, 3 * HIDDEN)
-        dx = dx.reshape(-1, 3 * HIDDEN)
-        grads["b"] += dx.sum(axis=0)
-        order = np.argsort(slots.ravel(), kind="stable")
+            dh *= z[t]
+            dh += dx[0, t] @ u[0]
+            dh += dx[1, t] @ u[1]
+            dh += (dx[2, t] * r[t]) @ u[2]
+            dh *= fresh[t]
+        dx = dx.reshape(3, -1, HIDDEN)
+        back = dx[0], dx[1], dx[2] * r.reshape(-1, HIDDEN)
+        grads["u"] += np.hstack([before.reshape(-1, HIDDEN).T @ gate for gate in back])
+        grads["b"] += (np.ones(dx.shape[1], dx.dtype) @ dx).ravel()
+        order = np.argsort(slots.ravel().astype(np.uint16), kind="stable")
         own = slots.ravel()[order]
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        grads["x"][own[first]] += np.add.reduceat(dx[order], first, axis=0)
+        grads["x"][own[first]] += np.hstack([np.add.reduceat(gate.take(order, axis=0), first, axis=0) for gate in dx])
 
 
 def train(network: Network, docs: list[np.ndarray]) -> None:
@@ -306,23 +324,23 @@ def score_documents(network: Network, docs: list[np.ndarray]) -> np.ndarray:
     for start in range(0, len(order), ABREAST):
         group = order[start : start + ABREAST]
         sizes = np.array([len(docs[k]) for k in group])
+        whole, begins = np.concatenate([docs[k] for k in group]), np.cumsum(sizes) - sizes
         h = np.zeros((len(group), HIDDEN), np.float32)
         last = np.full(len(group), END)
         for at in range(0, int(sizes[0]), SCORED_WINDOW):
             live = int(np.searchsorted(-sizes, -at, "left"))  # sizes fall, so the live ones come first
             width = min(SCORED_WINDOW, int(sizes[0]) - at)
-            targets = np.full((width, live), END)
-            for k in range(live):
-                part = docs[group[k]][at : at + width]
-                targets[: len(part), k] = part
+            place = np.arange(at, at + width)[:, None]
+            inside = place < sizes[:live]
+            targets = np.where(inside, whole.take(begins[:live] + place, mode="clip"), END)
             given = np.concatenate([last[None, :live], targets[:-1]])
             inputs, states, h = network.inputs(given), [], h[:live]
             for t in range(width):
                 h = network.step(inputs[t], h)[0]
                 states.append(h)
-            inside = (np.arange(at, at + width)[:, None] < sizes[None, :live]).ravel()
-            log, _ = network.outputs(np.concatenate(states)[inside], targets.ravel()[inside])
-            owner = np.tile(np.arange(live), width)[inside]
+            held = np.flatnonzero(inside)
+            log, _ = network.outputs(np.concatenate(states).take(held, axis=0), targets.ravel().take(held))
+            owner = held % live
             out[group[:live]] += np.bincount(owner, log, live)
             last = targets[-1]
     return out
