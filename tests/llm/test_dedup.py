@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import AccumulatorParam
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR
@@ -53,6 +54,55 @@ def test_overlapping_and_adjacent_passages(documents):
     same_as_brute(documents(*rows))
 
 
+def test_documents_in_many_blocks(spark, odd_documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 40_000)
+    test_substrings_of_documents(spark)
+    test_substrings_of_odd_documents(odd_documents)
+
+
+def test_hot_minimisers_go_window_by_window(spark, odd_documents, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 3)
+    test_documents_in_many_blocks(spark, odd_documents, monkeypatch)
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+def test_a_hot_passage_is_spread_over_shards(spark, monkeypatch):
+    """One passage in 30,000 documents: a block sends its windows once, and its edges, which differ
+    from copy to copy, do not meet in one shard."""
+    passage = [f"p{k}" for k in range(20)]
+    own = [F.concat(F.lit(f"{side}{k}-"), F.col("id")) for side in "ab" for k in range(12)]
+    text = F.concat_ws(" ", *own[:12], *map(F.lit, passage), *own[12:])
+    docs = spark.range(30_000, numPartitions=4).select(F.col("id").alias("doc_id"), text.alias("text"))
+    most, sent = spark.sparkContext.accumulator(0, Most()), spark.sparkContext.accumulator(0)
+    search = substring_dedup._search
+
+    def watched(words):
+        inner = search(words)
+
+        def run(table):
+            stretches = sum(len(substring_dedup.unpacked(b)[0]) for b in table["blob"].to_pylist())
+            most.add(stretches)
+            sent.add(stretches)
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "_search", watched)
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 500_000)
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 10_000)
+    found = substring_dedup.dedup(docs).agg(F.sum((F.col("n_removed") == 20).cast("int")), F.sum("n_removed"), F.min_by("n_removed", "doc_id"))
+    assert tuple(found.first()) == (29_999, 29_999 * 20, 0)
+    shards = 2 * substring_dedup.block_count(docs, 500_000)
+    assert shards > 20 and most.value < 2 * sent.value / shards
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 5), min_size=1, max_size=60), st.lists(st.integers(1, 5), min_size=1, max_size=5))
 def test_backward_search_counts_matches(text, pattern):

@@ -117,6 +117,12 @@ def text_blocks(docs: DataFrame, blocks: int, text: str = "text", lang: str | No
     return chosen.mapInArrow(run, "block long, blob binary")
 
 
+def block_count(docs: DataFrame, size: int, text: str = "text") -> int:
+    """Blocks of about ``size`` bytes of text each, from one count of all bytes: the same rule at every size."""
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    return max(1, -(-total // size))
+
+
 def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mixed(ids.astype(U64)) % U64(blocks)).astype(np.int64)
 

@@ -5,17 +5,23 @@ with a smaller id. Every window has a minimiser, the smallest hash of its inner
 ``ANCHOR`` words; equal windows have equal minimisers, so the minimiser names the shard that must
 judge a window, and no document meets an index that cannot hold its windows.
 
-1. Documents send the minimisers of their windows to the shards, which answer with those that
-   more than one document has. All others are single and need no index.
-2. Documents send the stretches of text around shared minimisers to the shards. A shard builds a
-   compressed FM-index (Burrows-Wheeler transform in a wavelet matrix of packed bits) over the
-   distinct stretches and streams them through it: backward search gives the matching statistics
-   up to the threshold, and the suffix interval of each full match gives its smallest document.
-3. Documents collect the reported intervals and drop the covered words.
-
-Rows are packed by blocks of documents and by shards, copies of a stretch within a block are sent
-once with the list of their documents, and blocks and shards grow in number, not in size, with the
-shuffle width. All work inside a task is over one block or one shard at a time.
+1. Blocks of documents send the distinct minimisers of their windows, each with its smallest
+   document, to the shards, which answer with those that more than one document has. All others
+   are single and need no index.
+2. Blocks send the distinct stretches of text around shared minimisers, each with its smallest and
+   largest document. A shard builds a compressed FM-index (Burrows-Wheeler transform in a wavelet
+   matrix of packed bits) over the distinct stretches and streams them through it: backward search
+   gives the matching statistics up to the threshold, and the suffix interval of each full match
+   gives its smallest document.
+3. A block learns, once per stretch, the smallest document of each window, where one of its own
+   documents is larger. Its documents look their stretches up and drop the covered words.
+
+However many copies a passage has, a block sends it once and gets one answer, so a shard handles a
+third of all documents' copies as one row per block. Around its edges every copy differs: a
+minimiser of more than ``HOT_WINDOWS`` windows is therefore cut into single windows, which go to the
+shard of their own hash instead of all to one. Blocks are cut by bytes of text: their number
+grows with the input, their size does not, and there are as many shards for each block at every
+size. All work inside a task is over one block or one shard at a time.
 
 Defined cases: a null or empty text has no words and keeps none; texts shorter than a window stay
 whole, and so do rows without an id, which no document is compared with. Rows with equal ids never remove each other's words. An empty table gives no rows. Other
@@ -33,22 +39,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from throngcast.llm.common import (
-    U64, WordCodes, block_of, doc_frame, documents_of, gram_hashes, packed, parts_by, ranges, shuffle_width, table_of,
-    text_blocks, unpacked,
+    U64, WordCodes, block_count, documents_of, gram_hashes, mixed, packed, parts_by, ranges, table_of, text_blocks, unpacked,
 )
 
 WINDOW = 13
 ANCHOR = 6
 #: Windows of one stretch at most; longer runs with one minimiser are cut.
 STRETCH = 16
+#: Windows of one minimiser, beyond which each window is sent by its own hash.
+HOT_WINDOWS = 1 << 17
 #: Words handled at once inside a block.
 CHUNK_WORDS = 1 << 18
-#: Shards for each shuffle partition; there is one block of documents for each.
-SHARDS_PER_PARTITION = 2
+#: Bytes of text in a block of documents, on average.
+BLOCK_BYTES = 16 << 20
+#: Shards for each block.
+SHARDS_PER_BLOCK = 2
 #: Patterns searched for side by side.
 SEARCHED_AT_ONCE = 100_000
 
-_SENT = pa.schema([("shard", pa.int64()), ("blob", pa.binary())])
+SENT = "shard long, block long, blob binary"
+_SENT = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("blob", pa.binary())])
 _ANSWER = pa.schema([("block", pa.int64()), ("blob", pa.binary())])
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 _KEPT = pa.schema(
@@ -163,50 +173,62 @@ def _chunks(raws: Iterable[bytes | None], codes: WordCodes) -> Iterator[tuple[in
 
 
 def _send_minimisers(shards: int, words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
-        for batch in batches:
-            ids = batch["doc_id"].to_numpy()
-            values, docs = [np.empty(0, U64)], [np.empty(0, np.int64)]
-            for first, chunk, doc in _chunks(batch["raw"].to_pylist(), codes):
-                start, _, least = minimisers(chunk, doc, words)
-                values.append(least)
-                docs.append(ids[first + doc[start]])
-            value, owner = np.concatenate(values), np.concatenate(docs)
-            order = np.lexsort((owner, value))
-            value, owner = value[order], owner[order]
-            if len(value):
-                fresh = np.append(True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1]))
-                value, owner = value[fresh], owner[fresh]
-            shard, blob = [], []
-            for key, at in parts_by((value % U64(shards)).astype(np.int64)):
-                shard.append(key)
-                blob.append(packed(value[at], owner[at]))
-            yield from table_of(_SENT, shard=shard, blob=blob).to_batches()
+    """The distinct minimisers of a block, each with its smallest document, whether others have it, and its windows."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        ids, codes = _ids(docs), WordCodes()
+        values, owners, windows = [np.empty(0, U64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for first, chunk, doc in _chunks(_raws(docs), codes):
+            start, end, least = minimisers(chunk, doc, words)
+            values.append(least)
+            owners.append(ids[first + doc[start]])
+            windows.append(end - start)
+        every = np.concatenate(values)
+        value, owner, last = _extremes(every, np.concatenate(owners))[1:]
+        total = np.bincount(np.searchsorted(value, every), np.concatenate(windows), len(value)).astype(np.uint32)
+        return _to_shards(docs, (value % U64(shards)).astype(np.int64), value, owner, owner != last, total)
 
     return run
 
 
-def _by_block(ids: np.ndarray, blocks: int, *arrays: np.ndarray) -> pa.Table:
-    block, blob = [], []
-    for key, at in parts_by(block_of(ids, blocks)):
-        block.append(key)
-        blob.append(packed(ids[at], *(a[at] for a in arrays)))
-    return table_of(_ANSWER, block=block, blob=blob)
+def _ids(docs: pa.Table) -> np.ndarray:
+    return np.array([i for i, _, _ in documents_of(docs)], np.int64)
+
+
+def _raws(docs: pa.Table) -> Iterator[bytes | None]:
+    return (raw for _, raw, _ in documents_of(docs))
+
 
+def _extremes(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Place of each distinct key, the key, and its smallest and largest document."""
+    order = np.lexsort((owner, keys))
+    fresh = np.append(True, keys[order][1:] != keys[order][:-1])[: len(keys)]
+    first, last = order[fresh], order[np.append(fresh, True)[1:]]
+    return first, keys[first], owner[first], owner[last]
 
-def _shared(blocks: int):
-    """Minimisers that several documents have, told to each of them."""
+
+def _to_shards(docs: pa.Table, shard: np.ndarray, *arrays: np.ndarray) -> pa.Table:
+    parts = [(key, packed(*(a[at] for a in arrays))) for key, at in parts_by(shard)]
+    return table_of(_SENT, shard=[key for key, _ in parts], block=[docs["block"][0].as_py()] * len(parts), blob=[blob for _, blob in parts])
+
+
+def _shared(hot_windows: int):
+    """Minimisers that several documents have, and whether they are hot, told to each of their blocks."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [unpacked(b) for b in table["blob"].to_pylist()]
-        value, owner = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        value, owner, several, windows = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        sender = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         order = np.argsort(value)
-        value, owner = value[order], owner[order]
-        start = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
-        several = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
-        keep = np.repeat(several, np.diff(np.append(start, len(value))))
-        return _by_block(owner[keep], blocks, value[keep])
+        start = np.flatnonzero(np.append(True, value[order][1:] != value[order][:-1])[: len(value)])
+        least, most = np.minimum.reduceat(owner[order], start), np.maximum.reduceat(owner[order], start)
+        shared = (least != most) | np.logical_or.reduceat(several[order], start)
+        sizes = np.diff(np.append(start, len(value)))
+        hot = np.repeat(np.add.reduceat(windows[order].astype(np.int64), start) > hot_windows, sizes)
+        keep = np.repeat(shared, sizes)
+        order, hot = order[keep], hot[keep]
+        told, blocks = list(parts_by(sender[order])), table["block"].to_pylist()
+        return table_of(_ANSWER, block=[blocks[k] for k, _ in told], blob=[packed(value[order[at]], hot[at].astype(np.uint8)) for _, at in told])
 
     return run
 
@@ -216,36 +238,43 @@ def _gathered(table: pa.Table, kinds: tuple) -> list[np.ndarray]:
     return [np.concatenate([np.empty(0, kind), *(p[k] for p in parts)]) for k, kind in enumerate(kinds)]
 
 
+def _stretches(raws: Iterable[bytes | None], wanted: np.ndarray, is_hot: np.ndarray, words: int) -> list[np.ndarray]:
+    """Stretches around the wanted minimisers: minimiser, number of the document, first word, size,
+    and the codes of all, one stretch after the other. Hot minimisers are cut into single windows."""
+    found, codes, hot = [], WordCodes(), np.unique(wanted[is_hot > 0])
+    wanted = np.unique(wanted)
+    for first, chunk, doc in _chunks(raws, codes):
+        start, end, value = minimisers(chunk, doc, words)
+        hit = np.isin(value, wanted)
+        start, end, value = start[hit], end[hit], value[hit]
+        longest = np.where(np.isin(value, hot), 1, STRETCH)
+        cuts = (end - start + longest - 1) // longest
+        longest = np.repeat(longest, cuts)
+        begin = ranges(np.zeros(len(cuts)), cuts) * longest + np.repeat(start, cuts)
+        sizes = np.minimum(np.repeat(end, cuts) - begin, longest) + words - 1
+        doc_start = np.searchsorted(doc, doc[begin]) if len(begin) else begin
+        found.append((np.repeat(value, cuts), first + doc[begin], begin - doc_start, sizes, chunk[ranges(begin, sizes)]))
+    return [np.concatenate([f[k] for f in found]) for k in range(5)]
+
+
 def _send_stretches(shards: int, words: int):
-    """Text around shared minimisers: lengths and codes of distinct stretches, and their places."""
+    """Distinct stretches of a block around shared minimisers, with their smallest and largest documents."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not answers.num_rows or not docs.num_rows:
             return _SENT.empty_table()
-        owner, value = _gathered(answers, (np.int64, U64))
-        wanted = np.unique(value ^ (owner.astype(U64) * U64(0x9E3779B97F4A7C15)))
-        ids, found, codes = np.array([i for i, _, _ in documents_of(docs)]), [], WordCodes()
-        for first, chunk, doc in _chunks((raw for _, raw, _ in documents_of(docs)), codes):
-            start, end, least = minimisers(chunk, doc, words)
-            doc_ids = ids[first + doc[start]]
-            hit = np.isin(least ^ (doc_ids.astype(U64) * U64(0x9E3779B97F4A7C15)), wanted)
-            start, end, least, doc_ids = start[hit], end[hit], least[hit], doc_ids[hit]
-            cuts = (end - start + STRETCH - 1) // STRETCH
-            begin = ranges(np.zeros(len(cuts)), cuts) * STRETCH + np.repeat(start, cuts)
-            sizes = np.minimum(np.repeat(end, cuts) - begin, STRETCH) + words - 1
-            doc_start = np.searchsorted(doc, doc[begin]) if len(begin) else begin
-            found.append((np.repeat(least, cuts), np.repeat(doc_ids, cuts), begin - doc_start, sizes, chunk[ranges(begin, sizes)]))
-        least, owner, place, sizes, content = (np.concatenate([f[k] for f in found]) for k in range(5))
+        wanted, is_hot = _gathered(answers, (U64, np.uint8))
+        value, row, _, sizes, content = _stretches(_raws(docs), wanted, is_hot, words)
         offset = np.cumsum(sizes) - sizes
-        digest = _digests(content, sizes)
+        one, digest, first, last = _extremes(_digests(content, sizes), _ids(docs)[row])
+        value, hot = value[one], np.isin(value[one], wanted[is_hot > 0])
         shard, blob = [], []
-        for key, at in parts_by((least % U64(shards)).astype(np.int64)):
-            _, one, which = np.unique(digest[at], return_index=True, return_inverse=True)
-            one = at[one]
-            text = content[ranges(offset[one], sizes[one])]
+        for key, at in parts_by((np.where(hot, mixed(digest), value) % U64(shards)).astype(np.int64)):
+            own = one[at]
+            text = content[ranges(offset[own], sizes[own])]
             shard.append(key)
-            blob.append(packed(sizes[one].astype(np.uint8), text, which.astype(np.uint32), owner[at], place[at].astype(np.uint32)))
-        return table_of(_SENT, shard=shard, blob=blob)
+            blob.append(packed(sizes[own].astype(np.uint8), text, value[at], first[at], last[at], hot[at].astype(np.uint8)))
+        return table_of(_SENT, shard=shard, block=[docs["block"][0].as_py()] * len(shard), blob=blob)
 
     return run
 
@@ -260,44 +289,40 @@ def _digests(content: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _distinct_stretches(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Sizes and words of the distinct stretches, their smallest documents, and all copies.
+    """Sizes, words and smallest documents of the distinct stretches; of each sent one the distinct
+    one it is, its digest, minimiser, largest document, heat and sender.
 
-    Blobs are unpacked one at a time, first for the copies and then for the words of one copy of
-    each stretch, so that words of further copies are never held together.
+    Blobs are unpacked one at a time, first for what is sent along and then for the words of one copy
+    of each stretch, so that words of further copies are never held together.
     """
-    digests, sizes, which, owner, place, seen = [], [], [], [], [], 0
-    for blob in blobs:
-        own_sizes, content, own_which, own_owner, own_place = unpacked(blob)
-        digests.append(_digests(content, own_sizes.astype(np.int64)))
-        sizes.append(own_sizes)
-        which.append(own_which + np.uint32(seen))
-        owner.append(own_owner)
-        place.append(own_place)
-        seen += len(own_sizes)
-    _, one, same = np.unique(np.concatenate(digests), return_index=True, return_inverse=True)
-    which, owner, place = same[np.concatenate(which)], np.concatenate(owner), np.concatenate(place)
-    first_doc = np.full(len(one), np.iinfo(np.int64).max)
-    np.minimum.at(first_doc, which, owner)
-    one_of, start, kept = np.sort(one), 0, []
-    for blob, own_sizes in zip(blobs, sizes):
-        own = one_of[(one_of >= start) & (one_of < start + len(own_sizes))] - start
-        content, lengths = unpacked(blob)[1], own_sizes.astype(np.int64)
-        kept.append(content[ranges((np.cumsum(lengths) - lengths)[own], lengths[own])])
-        start += len(own_sizes)
+    sent = []
+    for k, blob in enumerate(blobs):
+        sizes, content, *along = unpacked(blob)
+        sent.append((_digests(content, sizes.astype(np.int64)), sizes, *along, np.full(len(sizes), k)))
+    digest, sizes, value, first, last, hot, sender = (np.concatenate([s[k] for s in sent]) for k in range(7))
+    _, one, which = np.unique(digest, return_index=True, return_inverse=True)
+    least = np.full(len(one), np.iinfo(np.int64).max)
+    np.minimum.at(least, which, first)
     # stretches in the order of their words, not of their digests
+    order = np.argsort(one)
     position = np.empty(len(one), np.int64)
-    position[np.argsort(one)] = np.arange(len(one))
-    by_place = np.empty(len(one), np.int64)
-    by_place[position] = first_doc
-    lengths = np.concatenate(sizes).astype(np.int64)[one_of]
-    return lengths, np.concatenate(kept), by_place, position[which], owner, place
+    position[order] = np.arange(len(one))
+    one_of, start, kept = one[order], 0, []
+    for blob, (_, own_sizes, *_) in zip(blobs, sent):
+        own = one_of[(one_of >= start) & (one_of < start + len(own_sizes))] - start
+        if len(own):
+            content, lengths = unpacked(blob)[1], own_sizes.astype(np.int64)
+            kept.append(content[ranges((np.cumsum(lengths) - lengths)[own], lengths[own])])
+        start += len(own_sizes)
+    return sizes.astype(np.int64)[one_of], np.concatenate(kept), least[order], position[which], digest, value, last, hot, sender
 
 
-def _search(blocks: int, words: int):
-    """Index the distinct stretches of a shard and report covered words of later documents."""
+def _search(words: int):
+    """Index the distinct stretches of a shard; tell each block the smallest documents of the windows
+    of its stretches, where they are smaller than its own largest one."""
 
     def run(table: pa.Table) -> pa.Table:
-        sizes, content, first_doc, which, owner, place = _distinct_stretches(table["blob"].to_pylist())
+        sizes, content, first_doc, which, digest, value, last, hot, sender = _distinct_stretches(table["blob"].to_pylist())
         _, dense = _ordered(content.view(np.int64))
         del content
         # stretches end with symbol 0
@@ -316,60 +341,79 @@ def _search(blocks: int, words: int):
         distinct, one, at = np.unique(low, return_index=True, return_inverse=True)
         bounds = np.stack([distinct, high[one]], axis=1).reshape(-1)
         least = np.minimum.reduceat(by_suffix, bounds)[::2][at]
-        # each copy of a stretch drops its windows that a smaller document has
         window_of = np.cumsum(n_windows) - n_windows
-        rows = ranges(window_of[which], n_windows[which])
-        copy = np.repeat(np.arange(len(which)), n_windows[which])
-        word = place[copy] + ranges(np.zeros(len(which)), n_windows[which])
-        gone = least[rows] < owner[copy]
-        copy, word = copy[gone], word[gone]
-        if not len(copy):
-            return _ANSWER.empty_table()
-        fresh = np.append(True, (copy[1:] != copy[:-1]) | (word[1:] != word[:-1] + 1))
-        last = np.append(fresh[1:], True)
-        return _by_block(owner[copy[fresh]], blocks, word[fresh], word[last] + words)
+        told = np.flatnonzero(np.minimum.reduceat(least, window_of)[which] < last)
+        block, blob, blocks = [], [], table["block"].to_pylist()
+        for key, at in parts_by(sender[told]):
+            own = told[at]
+            of = which[own]
+            block.append(blocks[key])
+            blob.append(packed(value[own], hot[own], digest[own], n_windows[of].astype(np.uint8), least[ranges(window_of[of], n_windows[of])]))
+        return table_of(_ANSWER, block=block, blob=blob)
 
     return run
 
 
-def _keep(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    owner, first, end = _gathered(answers, (np.int64, np.int64, np.int64))
-    order = np.argsort(owner, kind="stable")
-    owner, first, end = owner[order], first[order], end[order]
-    rows = []
-    for doc_id, raw, _ in documents_of(docs):
-        own = (raw or b"").split()
-        a, b = (0, 0) if doc_id is None else np.searchsorted(owner, [doc_id, doc_id + 1])
-        kept = own
-        if b > a:
-            edge = np.zeros(len(own) + 1, np.int64)
-            np.add.at(edge, first[a:b], 1)
-            np.add.at(edge, end[a:b], -1)
-            kept = [own[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
-        text = b" ".join(kept)
-        rows.append((doc_id, len(own), len(own) - len(kept), hashlib.sha256(text).hexdigest(), text.decode()))
-    return table_of(_KEPT, **dict(zip(_KEPT.names, zip(*rows) if rows else [[]] * 5)))
+def _covered(docs: pa.Table, answers: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of a block that a smaller document has too: number of the document, first word."""
+    if not docs.num_rows or not answers.num_rows:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    value, hot, digest, counts, least = _gathered(answers, (U64, np.uint8, U64, np.uint8, np.int64))
+    counts = counts.astype(np.int64)
+    begin = np.cumsum(counts) - counts
+    _, row, place, sizes, content = _stretches(_raws(docs), value, hot, words)
+    order = np.argsort(digest)
+    own = _digests(content, sizes)
+    at = order[np.minimum(np.searchsorted(digest[order], own), len(order) - 1)]
+    hit = digest[at] == own
+    at, row, place = at[hit], row[hit], place[hit]
+    doc = np.repeat(row, counts[at])
+    word = np.repeat(place, counts[at]) + ranges(np.zeros(len(at)), counts[at])
+    gone = least[ranges(begin[at], counts[at])] < _ids(docs)[doc]
+    doc, word = doc[gone], word[gone]
+    order = np.argsort(doc, kind="stable")
+    return doc[order], word[order]
+
+
+def _keep(words: int):
+    """Every document of a block without the words of its covered windows."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        doc, word = _covered(docs, answers, words)
+        rows = []
+        for k, (doc_id, raw, _) in enumerate(documents_of(docs)):
+            own = (raw or b"").split()
+            a, b = np.searchsorted(doc, [k, k + 1])
+            kept = own
+            if b > a:
+                edge = np.zeros(len(own) + 1, np.int64)
+                np.add.at(edge, word[a:b], 1)
+                np.add.at(edge, word[a:b] + words, -1)
+                kept = [own[j] for j in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
+            text = b" ".join(kept)
+            rows.append((doc_id, len(own), len(own) - len(kept), hashlib.sha256(text).hexdigest(), text.decode()))
+        return table_of(_KEPT, **dict(zip(_KEPT.names, zip(*rows) if rows else [[]] * 5)))
+
+    return run
 
 
 def _keep_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield from _keep(pa.Table.from_batches([batch]), _ANSWER.empty_table()).to_batches()
+        yield from _keep(WINDOW)(pa.Table.from_batches([batch]), _ANSWER.empty_table()).to_batches()
 
 
 def dedup(docs: DataFrame, words: int = WINDOW) -> DataFrame:
     """Every document with its kept words: ``KEPT``."""
     if not ANCHOR < words <= FMIndex.DEPTH:
         raise ValueError(f"windows of {ANCHOR + 1} to {FMIndex.DEPTH} words are supported")
-    width = shuffle_width(docs.sparkSession)
-    blocks, shards = width, SHARDS_PER_PARTITION * width
     known = docs.where(F.col("doc_id").isNotNull())
-    # the documents are dealt by block once; both co-groupings read the same exchange
+    blocks = block_count(known, BLOCK_BYTES)
+    shards = SHARDS_PER_BLOCK * blocks
+    # the documents are dealt by block once; all three steps read the same exchange
     blocked = text_blocks(known, blocks)
-    sent = doc_frame(known).mapInArrow(_send_minimisers(shards, words), "shard long, blob binary")
-    shared = sent.groupBy("shard").applyInArrow(_shared(blocks), "block long, blob binary")
-    stretches = blocked.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        _send_stretches(shards, words), "shard long, blob binary"
-    )
-    covered = stretches.groupBy("shard").applyInArrow(_search(blocks, words), "block long, blob binary")
-    kept = blocked.groupBy("block").cogroup(covered.groupBy("block")).applyInArrow(_keep, KEPT)
+    sent = blocked.groupBy("block").applyInArrow(_send_minimisers(shards, words), SENT)
+    shared = sent.groupBy("shard").applyInArrow(_shared(HOT_WINDOWS), "block long, blob binary")
+    stretches = blocked.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_send_stretches(shards, words), SENT)
+    covered = stretches.groupBy("shard").applyInArrow(_search(words), "block long, blob binary")
+    kept = blocked.groupBy("block").cogroup(covered.groupBy("block")).applyInArrow(_keep(words), KEPT)
     return kept.union(text_blocks(docs.where(F.col("doc_id").isNull()), 1).mapInArrow(_keep_all, KEPT))
