@@ -46,7 +46,9 @@ def test_closest_name_loses_no_pair(spark, threshold):
             at = rng.randint(0, len(edited))
             edited[at : at + rng.randint(0, 1)] = rng.choices("abc ", k=rng.randint(0, 1))
         probes.append("".join(edited))
-    probes = sorted(set(probes))
+    # short names with and without a character in common
+    targets = sorted({*targets, *random_names(rng, 12, "xy", 4)})
+    probes = sorted({*probes, *random_names(rng, 30, "xyz", 6), *random_names(rng, 10, "é𝒳", 5)})
     found = closest_name(
         spark.createDataFrame([(p,) for p in probes], "p string"),
         spark.createDataFrame([(t, i) for i, t in enumerate(targets)], "t string, id int"),
@@ -64,6 +66,34 @@ def test_closest_name_loses_no_pair(spark, threshold):
     assert {r["p"]: (r["distance"], r["id"]) for r in found.collect()} == expected
 
 
+def test_short_names_without_a_common_character_are_not_compared(spark):
+    """2,000 by 2,000 short names over two alphabets: each probe meets the first target of a length only."""
+    letters = [[chr(ord(first) + k) for k in range(7)] for first in "ah"]
+    names = [["".join(p) for p in itertools.islice(itertools.product(own, repeat=4), 2_000)] for own in letters]
+    found = closest_name(
+        spark.createDataFrame([(p,) for p in names[0]], "p string"),
+        spark.createDataFrame([(t, i) for i, t in enumerate(names[1])], "t string, id int"),
+        probe="p", target="t", payload="id", threshold=4, salts=1,
+    )
+    assert found.count() == 2_000 and found.where("distance <> 4 or id <> 0").isEmpty()
+    rows = []
+    nodes = [found._jdf.queryExecution().executedPlan()]
+    found.collect()
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in name:
+            nodes.append(node.plan())
+        else:
+            if "Join" in name:
+                rows.append(node.metrics().apply("numOutputRows").value())
+            children = node.children()
+            nodes += [children.apply(k) for k in range(children.size())]
+    assert rows and max(rows) <= 2_000
+
+
 def test_nearest_within_matches_brute_force(spark):
     rng = random.Random(5)
     around = [(40.7, -74.0), (89.9995, 10.0), (0.0, 179.9998), (-60.0, 20.0)]

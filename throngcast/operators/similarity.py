@@ -25,6 +25,11 @@ def _segment(length: Column, index: Column, parts: int) -> tuple[Column, Column]
     return start, size
 
 
+def _characters(text: Column) -> Column:
+    """The distinct characters of a text that is not empty."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text)), lambda at: F.substr(text, at, F.lit(1))))
+
+
 def closest_name(
     probes: DataFrame,
     targets: DataFrame,
@@ -41,14 +46,18 @@ def closest_name(
     ``payload`` each. A target is cut into ``threshold + 1`` segments. Two texts at
     most ``threshold`` edits apart share a segment verbatim, shifted by ``d`` with
     ``|d| + |length difference - d| <= threshold``, so joining on (length, segment
-    number, segment text) loses no pair. Texts too short to be cut are paired by
-    length alone. Salting spreads a segment that many texts share. Output columns:
-    ``probe``, ``distance``, ``payload``.
+    number, segment text) loses no pair. A target too short to be cut is compared with
+    the texts that have a character of it. From all others it is as far as the longer
+    of both is long, so of these only the smallest payload of each length can answer;
+    that it may be nearer does no harm, as its own comparison then wins. Salting
+    spreads a segment that many texts share. Output columns: ``probe``, ``distance``,
+    ``payload``.
     """
     parts = threshold + 1
     cut = targets.withColumn("_n", F.length(target))
-    whole = cut.where(F.col("_n") < parts).select(
-        target, payload, "_n", F.lit(-1).alias("_i"), F.lit("").alias("_text")
+    short_targets = cut.where(F.col("_n") < parts)
+    whole = short_targets.where(F.col("_n") > 0).select(
+        target, payload, "_n", F.lit(-1).alias("_i"), F.explode(_characters(F.col(target))).alias("_text")
     )
     start, size = _segment(F.col("_n"), F.col("_i"), parts)
     pieces = (
@@ -62,9 +71,13 @@ def closest_name(
     lengths = sized.withColumn(
         "_n", F.explode(F.sequence(F.greatest(F.col("_len") - threshold, F.lit(0)), F.col("_len") + threshold))
     )
-    short = lengths.where(F.col("_n") < parts).select(
-        probe, "_n", F.lit(-1).alias("_i"), F.lit("").alias("_text")
+    short_probes = lengths.where(F.col("_n") < parts)
+    short = short_probes.where((F.col("_n") > 0) & (F.col("_len") > 0)).select(
+        probe, "_n", F.lit(-1).alias("_i"), F.explode(_characters(F.col(probe))).alias("_text")
     )
+    # one row per length below the threshold, at most threshold + 1 of them
+    first_of_length = F.broadcast(short_targets.groupBy("_n").agg(F.min(payload).alias(payload)))
+    apart = short_probes.join(first_of_length, "_n").select(probe, F.greatest("_len", "_n").alias("distance"), payload)
     gap = F.col("_len") - F.col("_n")
     first = F.greatest(start + F.ceil((gap - threshold) / 2).cast("int"), F.lit(0))
     last = F.least(start + F.floor((gap + threshold) / 2).cast("int"), F.col("_len") - size)
@@ -79,10 +92,13 @@ def closest_name(
     search = _assign(short.unionByName(windows), salts, probe)
 
     distance = F.levenshtein(F.col(probe), F.col(target), threshold)
-    return (
+    compared = (
         search.join(index, ["_n", "_i", "_text", "_salt"])
-        .withColumn("distance", distance)
+        .select(probe, distance.alias("distance"), payload)
         .where(F.col("distance") >= 0)
+    )
+    return (
+        compared.union(apart.where(F.col("distance") <= threshold))
         .groupBy(probe)
         .agg(F.min(F.struct("distance", payload)).alias("_best"))
         .select(probe, "_best.distance", f"_best.{payload}")
