@@ -229,8 +229,9 @@ def test_repeated_polls_weigh_in(rows):
     repeated = delays.unionByName(delays.where("arrival_delay_secs = 90"))
     doubled = vehicles.unionByName(vehicles)
     assert {r.avg_arrival_delay_secs for r in signal.delay_signal(doubled, repeated).collect()} == {70.0}
-    stream_form = signal.delay_signal_stream(doubled, repeated)
-    assert {r.avg_arrival_delay_secs for r in stream_form.collect()} == {70.0}
+    for slots in (False, True):
+        stream_form = signal.delay_signal_stream(doubled, repeated, slots=slots)
+        assert {r.avg_arrival_delay_secs for r in stream_form.collect()} == {70.0}
 
 
 def test_score_invariants(spark):

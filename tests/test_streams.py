@@ -92,17 +92,22 @@ def test_late_rows_are_dropped(spark, tmp_path, provider):
         spark.conf.set(key, before)
 
 
-def test_pairs_stream_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("slots", [False, True])
+def test_pairs_stream_equals_batch(spark, tmp_path, slots):
     vehicles = partial(spark, VEHICLE_POSITIONS, [vehicle(i, f"t{i % 3}") for i in range(30)])
     delays = partial(spark, TRIP_DELAYS, [delay(i * 0.7, i, f"t{i % 3}") for i in range(40)])
     paths = [str(tmp_path / n) for n in ("v", "d", "out")]
     vehicles.write.parquet(paths[0])
     delays.write.parquet(paths[1])
     pairs = signal.delay_pairs_stream(
-        file_stream(spark, paths[0], VEHICLE_POSITIONS), file_stream(spark, paths[1], TRIP_DELAYS)
+        file_stream(spark, paths[0], VEHICLE_POSITIONS), file_stream(spark, paths[1], TRIP_DELAYS), slots=slots
     )
     with state_partitions(spark, 2):
-        to_parquet(pairs, paths[2], paths[2] + "-mark", trigger=ONCE_THROUGH).awaitTermination()
+        stream = to_parquet(pairs, paths[2], paths[2] + "-mark", trigger=ONCE_THROUGH)
+        stream.awaitTermination()
+    # a delay is kept once, and once for each of three slots where they are asked for
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in stream.recentProgress if p["stateOperators"])
+    assert kept == 30 + 40 * (3 if slots else 1)
     got, expected = spark.read.schema(pairs.schema).parquet(paths[2]), signal.vehicle_delay_pairs(vehicles, delays)
     assert got.exceptAll(expected.select(got.columns)).count() == 0 and got.count() == expected.count() > 50
 

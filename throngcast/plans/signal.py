@@ -79,23 +79,26 @@ def delay_signal(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     )
 
 
-def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
+def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame, *, slots: bool = False) -> DataFrame:
     """The pairs of two streams; state is dropped once both watermarks pass the bound.
 
-    As in the batch form the five-minute slot joins the key and a delay is kept in the slots
-    around its own, so a hot trip and stop is spread over as many keys as it has slots.
+    Trip and stop are a fine key: one vehicle at one place. Where one key is hot all the same,
+    ``slots`` puts the five-minute slot into the key as the batch form does. A delay is then kept in
+    the slots around its own, so the hot key is spread over its slots and that side's state is three
+    times as large.
     """
     lag = f"{WATERMARK_SECS} seconds"
-    own = time_slot(F.col("vehicle_timestamp"), JOIN_BOUND_SECS)
-    near = time_slot(F.col("trip_timestamp"), JOIN_BOUND_SECS)
-    left = usable_vehicles(vehicles).withColumn("slot", own).withWatermark("vehicle_timestamp", lag).alias("v")
-    right = (
-        usable_delays(delays).withColumn("slot", F.explode(F.array(near - 1, near, near + 1)))
-        .withWatermark("trip_timestamp", lag).alias("d")
-    )
+    left, right, keys = usable_vehicles(vehicles), usable_delays(delays), ["trip_id", "stop_id"]
+    if slots:
+        near = time_slot(F.col("trip_timestamp"), JOIN_BOUND_SECS)
+        left = left.withColumn("slot", time_slot(F.col("vehicle_timestamp"), JOIN_BOUND_SECS))
+        right = right.withColumn("slot", F.explode(F.array(near - 1, near, near + 1)))
+        keys.append("slot")
+    left = left.withWatermark("vehicle_timestamp", lag).alias("v")
+    right = right.withWatermark("trip_timestamp", lag).alias("d")
     bound = F.expr(f"INTERVAL {JOIN_BOUND_SECS} SECONDS")
     reported, announced = F.col("v.vehicle_timestamp"), F.col("d.trip_timestamp")
-    same_key = [F.col(f"v.{name}") == F.col(f"d.{name}") for name in ("trip_id", "stop_id", "slot")]
+    same_key = [F.col(f"v.{name}") == F.col(f"d.{name}") for name in keys]
     return left.join(right, [*same_key, announced.between(reported - bound, reported + bound)]).select(
         "v.trip_id",
         "v.stop_id",
@@ -106,7 +109,7 @@ def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     )
 
 
-def delay_signal_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
+def delay_signal_stream(vehicles: DataFrame, delays: DataFrame, *, slots: bool = False) -> DataFrame:
     """The signal of two streams: interval join, sums per slide, then windows over the sums.
 
     Only the sums, one row per station and slide, are copied into the windows that cover them.
@@ -115,7 +118,7 @@ def delay_signal_stream(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     """
     slide = f"{SLIDE_SECS} seconds"
     sums = (
-        delay_pairs_stream(vehicles, delays)
+        delay_pairs_stream(vehicles, delays, slots=slots)
         .groupBy(F.window("vehicle_timestamp", slide).alias("slide"), "station_complex_id")
         .agg(F.sum("arrival_delay_secs").alias("total"), F.count(F.lit(1)).alias("pairs"))
     )
