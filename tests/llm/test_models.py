@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import itertools
 import math
+import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -182,6 +185,43 @@ def test_mixtures_are_told_apart(docs):
     assert set(mixture.infer(sample["es"])) == {"es"}
 
 
+def grid(parts, step=40):
+    """Every way to share ``step`` units among ``parts``, each getting one or more, as shares."""
+    cuts = itertools.combinations(range(1, step), parts - 1)
+    return np.array([np.diff([0, *c, step]) for c in cuts]) / step
+
+
+def brute_mixture(mixture, text):
+    """Best penalised fit over all sets of languages, their shares taken from a fine grid."""
+    counts = Counter(language_id.WORD.findall(text.lower()))
+    p, n = mixture.likelihoods(list(counts)), np.array(list(counts.values()))
+    cost, fits = 0.5 * np.log(n.sum() + 1), {}
+    for size in range(1, len(mixture.langs) + 1):
+        for chosen in itertools.combinations(range(len(mixture.langs)), size):
+            fit = (n @ np.log(p[:, chosen] @ grid(size).T)).max()
+            fits[tuple(mixture.langs[k] for k in chosen)] = fit - size * cost
+    return fits
+
+
+def test_sets_and_shares_match_brute_force(docs):
+    """Texts of few words from one to three languages: no set of languages fits better than the chosen one."""
+    counts = language_id.learn(docs.select("doc_id", "text", "lang"))
+    langs = sorted(counts)[:3]
+    mixture = language_id.Mixture({lang: counts[lang] for lang in langs})
+    words = {
+        lang: sorted({w for r in docs.where(F.col("lang") == lang).limit(20).collect() for w in language_id.WORD.findall(r["text"].lower())})
+        for lang in langs
+    }
+    rng = random.Random(6)
+    for _ in range(60):
+        used = rng.sample(langs, rng.randint(1, 3))
+        text = " ".join(w for lang in used for w in rng.choices(words[lang], k=rng.randint(1, 8)))
+        share, fits = mixture.infer(text), brute_mixture(mixture, text)
+        best = max(fits.values())
+        assert fits[tuple(sorted(share))] >= best - 0.05, (text, share, fits)
+        assert sum(share.values()) == pytest.approx(1)
+
+
 def test_languages_of_odd_documents(odd_documents, no_documents):
     found = {}
     for r in language_id.identify(odd_documents, F.lit(True)).collect():
@@ -256,6 +296,23 @@ def test_junk_and_toxic_documents_are_rejected(spark, docs):
     assert sum(not r["kept"] for r in junk) >= 0.7 * len(junk)
 
 
+def test_documents_with_toxic_words_are_rejected(spark):
+    """A tenth of the toxic labels name documents without any toxic word; the words are those that ten
+    documents labelled toxic hold and no other document."""
+    folder = Path(SF_DIR).parent / "sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    judged = quality_classifier.classify(docs, labels)
+    rows = judged.join(docs.select("doc_id", "text"), "doc_id").join(labels, "doc_id").collect()
+    words = {r["doc_id"]: set((r["text"] or "").lower().split()) for r in rows}
+    held = Counter(w for r in rows if r["toxic"] for w in words[r["doc_id"]])
+    clean = {w for r in rows if not r["toxic"] for w in words[r["doc_id"]]}
+    toxic_words = {w for w, n in held.items() if n >= 10 and w not in clean}
+    toxic = [r for r in rows if r["toxic"] and words[r["doc_id"]] & toxic_words]
+    assert len(toxic) > 30 and sum(not r["kept"] for r in toxic) >= 0.9 * len(toxic)
+    fine = [r for r in rows if r["quality"] == 1 and not r["toxic"]]
+    assert sum(r["kept"] for r in fine) >= 0.97 * len(fine)
+
+
 def test_classifier_of_odd_documents(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1, None), (6, 1, 0), (9, 0, 0), (77, 1, 0), (None, 1, 0), (10, None, 1)], "doc_id long, quality int, toxic int")
     rows = quality_classifier.classify(odd_documents, labels).collect()

@@ -169,6 +169,21 @@ SELECT page_id, host, path,
     CASE {" ".join(f"WHEN {_fits(r)} THEN '{v.split()[0]}'" for v, r in _FITS.items())}
     WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM parsed LEFT JOIN bounds USING (host)""",
+    "op8_near_dedup": f"""
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filters.UPPER}', '{url_filters.UPPER.lower()}'),
+    '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents),
+shingled AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(
+        list_zip(w[:-5], w[2:-4], w[3:-3], w[4:-2], w[5:]), lambda x: concat_ws(' ', x[1], x[2], x[3], x[4], x[5])))) END AS s FROM worded),
+sets AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS shingle FROM sets),
+links AS (SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.shingle = b.shingle AND a.rep < b.rep
+    GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT rep AS a, rep AS b FROM sets UNION SELECT r.a, e.b FROM reached r JOIN edges e ON e.a = r.b),
+components AS (SELECT a AS rep, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, len(d.s) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM shingled d LEFT JOIN sets ON sets.s = d.s LEFT JOIN components USING (rep)""",
     "op12_fill_in_middle": """
 WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS l, sha256('7:' || doc_id) AS h FROM documents),
 numbers AS (SELECT *, len(l) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
