@@ -834,8 +834,9 @@ def _signal_stream(spark, d) -> str:
     vehicles, delays = _staged(spark, d)
     out = scratch_path(spark, "signal")
     with state_partitions(spark, STATE_WIDTH):
+        # one trigger reads the whole feed
         jobs.stage_delay_signal(
-            spark, vehicles, delays, out, f"{out}-checkpoint", trigger=ONCE_THROUGH
+            spark, vehicles, delays, out, f"{out}-checkpoint", trigger=ONCE_THROUGH, slots=True
         ).awaitTermination()
     return out
 
@@ -846,6 +847,7 @@ def stream_interval_join(spark, d):
     pairs = signals.delay_pairs_stream(
         readers.file_stream(spark, vehicles, jobs.VEHICLE_POSITIONS),
         readers.file_stream(spark, delays, jobs.TRIP_DELAYS),
+        slots=True,
     )
     out = scratch_path(spark, "pairs")
     with state_partitions(spark, STATE_WIDTH):

@@ -82,10 +82,11 @@ def delay_signal(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
 def delay_pairs_stream(vehicles: DataFrame, delays: DataFrame, *, slots: bool = False) -> DataFrame:
     """The pairs of two streams; state is dropped once both watermarks pass the bound.
 
-    Trip and stop are a fine key: one vehicle at one place. Where one key is hot all the same,
-    ``slots`` puts the five-minute slot into the key as the batch form does. A delay is then kept in
-    the slots around its own, so the hot key is spread over its slots and that side's state is three
-    times as large.
+    Trip and stop are a fine key: one vehicle at one place, with the rows of some minutes in state.
+    But a row is compared with all rows of its key, and a trigger that catches up on days holds them
+    all: its time grows with the square of a key's rows. For such a trigger, or a hot key, ``slots``
+    puts the five-minute slot into the key as the batch form does, so a row meets rows of its own
+    time only. A delay is then kept in the slots around its own: three times that side's state.
     """
     lag = f"{WATERMARK_SECS} seconds"
     left, right, keys = usable_vehicles(vehicles), usable_delays(delays), ["trip_id", "stop_id"]

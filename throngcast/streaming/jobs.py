@@ -89,12 +89,18 @@ def stage_delay_signal(
     checkpoint: str,
     *,
     trigger: dict = EVERY_30_SECONDS,
+    slots: bool = False,
     **source,
 ) -> StreamingQuery:
-    """Staged vehicles and delays to the rolling delay per station."""
+    """Staged vehicles and delays to the rolling delay per station.
+
+    A trigger that reads far more than a few minutes of the feed needs ``slots``, see
+    ``delay_pairs_stream``. The choice belongs to the checkpoint.
+    """
     signal = delay_signal_stream(
         file_stream(spark, vehicles, VEHICLE_POSITIONS, **source),
         file_stream(spark, delays, TRIP_DELAYS, **source),
+        slots=slots,
     )
     return to_parquet(signal, path, checkpoint, trigger=trigger)
 
