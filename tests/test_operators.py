@@ -226,3 +226,16 @@ def test_profile(rows):
     assert got["b"] == (3, 3, None, None)
     assert got["c"] == (3, 0, None, None)
     assert sample_rows(df, 2, ["a"]).count() == 2
+
+
+def test_discrete_quantiles_are_exact_where_sketches_are_not(spark):
+    """The sketch of ``percentile_approx`` is off by up to one rank in ten thousand."""
+    n = 300_000
+    df = spark.range(0, n, 1, 6).select(F.pmod(F.hash("id"), F.lit(1_000_003)).alias("v"))
+    values = sorted(r.v for r in df.collect())
+    got = exact_quantiles(df, "v", {"low": 0.0, "p50": 0.5, "p95": 0.95, "top": 1.0}, discrete=True).first()
+    assert tuple(got) == (values[0], values[n // 2 - 1], values[n * 95 // 100 - 1], values[-1])
+    from throngcast.plans.quality import calibrate_service
+
+    found = calibrate_service(df.select(F.col("v").alias("arrival_delay_secs"))).first()
+    assert (found.row_count, found.p50, found.p95) == (n, values[n // 2 - 1], values[n * 95 // 100 - 1])

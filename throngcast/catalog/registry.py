@@ -699,7 +699,7 @@ def retention_filter(spark, d):
 
 @query
 def calibrate_service(spark, d):
-    return quality.calibrate_service(_announced(spark, d))
+    return quality.calibrate_service(_stored(spark, _announced(spark, d), "delays"))
 
 
 @query

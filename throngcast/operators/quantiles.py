@@ -1,8 +1,9 @@
-"""Exact interpolated quantiles of an integer column."""
+"""Exact quantiles of an integer column, interpolated or as one of its values."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 LOW_BITS = 16
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, column: str, probabilities: Mapping[str, float], *, discrete: bool = False
+) -> DataFrame:
     """One row with an exact, linearly interpolated quantile per name.
 
-    The column is a 32-bit integer. Rows are counted per value in one distributed
+    ``discrete`` gives the smallest value that at least this share of the rows does not exceed
+    instead; its rank is found in decimals. The column is a 32-bit integer. Rows are counted per value in one distributed
     pass. The counts are then summed by the high half of the value, which locates the
     half-word each wanted rank falls in, and only that half-word is ranked value by
     value. No ranking step holds more than 65,536 counters per quantile, however many
@@ -34,12 +38,18 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Mapping[str, floa
         .agg(F.sum("_n").alias("_n"))
         .withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(everything)})
     )
+
+    def place(p: float):
+        if discrete:
+            return F.greatest(F.ceil(F.lit(Decimal(str(p))) * F.col("_all")).cast("bigint") - 1, F.lit(0))
+        return F.lit(float(p)) * (F.col("_all") - 1)
+
     wanted = [
         F.struct(
             F.lit(name).alias("name"),
             F.lit(part).alias("part"),
-            part_of(F.lit(float(p)) * (F.col("_all") - 1)).cast("bigint").alias("rank"),
-            (F.lit(float(p)) * (F.col("_all") - 1)).alias("position"),
+            part_of(place(p)).cast("bigint").alias("rank"),
+            place(p).cast("double").alias("position"),
         )
         for name, p in probabilities.items()
         for part, part_of in (("below", F.floor), ("above", F.ceil))

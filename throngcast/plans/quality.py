@@ -15,6 +15,7 @@ from throngcast.plans.scoring import with_scores
 MIN_GRACE_SECS = 30.0
 MIN_SATURATION_SECS = 240.0
 ENDPOINT_TOLERANCE = 0.15
+ENDPOINT_QUANTILES = {"p50": 0.50, "p95": 0.95}
 QUANTILES = {"delay_p50": 0.50, "delay_p95": 0.95, "delay_p99": 0.99}
 
 
@@ -92,12 +93,16 @@ def top_stations(df: DataFrame, n: int = 20, key: str = "station_complex_id") ->
 
 
 def calibrate_service(delays: DataFrame) -> DataFrame:
-    """Suggested grace and saturation endpoints from the observed delays, one row."""
-    delay = F.col("arrival_delay_secs").cast("double")
-    observed = delays.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.percentile_approx(delay, 0.50), F.lit(0.0)).alias("p50"),
-        F.coalesce(F.percentile_approx(delay, 0.95), F.lit(0.0)).alias("p95"),
+    """Suggested grace and saturation endpoints from the observed delays, one row.
+
+    The endpoints are exact: the delays are read twice, for their number and for their quantiles.
+    """
+    quantiles = exact_quantiles(delays, "arrival_delay_secs", ENDPOINT_QUANTILES, discrete=True)
+    counted = delays.agg(F.count(F.lit(1)).alias("row_count"))
+    found = quantiles.select(F.struct(*ENDPOINT_QUANTILES).alias("q")).scalar()
+    observed = counted.withColumn("_q", found).select(
+        "row_count",
+        *[F.coalesce(F.col(f"_q.{name}").cast("double"), F.lit(0.0)).alias(name) for name in ENDPOINT_QUANTILES],
     )
     suggested = observed.withColumns(
         {
