@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_streams import Feed, delay, vehicle
 from throngcast.catalog import registry
@@ -40,3 +41,17 @@ def test_queries_over_a_whole_feed_ask_for_slots(spark, monkeypatch, name, owner
     monkeypatch.setattr(owner, step, record)
     with pytest.raises(Seen):
         registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_frames_in_turn_are_written_in_parallel_and_read_a_trigger_each(spark, tmp_path):
+    parts = [spark.range(0, 4000, 1, 4), spark.range(4000, 4003), spark.range(0), spark.range(5000, 9000, 1, 2)]
+    feed, seen, largest = registry._files_in_turn(spark, "in-turn", *parts), [], []
+
+    def handle(batch, batch_id):
+        seen.append(sorted(r.id for r in batch.collect()))
+        largest.append(max((r["count"] for r in batch.groupBy(F.input_file_name()).count().collect()), default=0))
+
+    feed = feed.writeStream.foreachBatch(handle).option("checkpointLocation", str(tmp_path)).trigger(availableNow=True)
+    feed.start().awaitTermination()
+    assert seen == [list(range(4000)), [4000, 4001, 4002], [], list(range(5000, 9000))]
+    assert max(largest) < 400  # no task writes or reads a frame as a whole

@@ -29,7 +29,7 @@ from throngcast.plans import weather as daily_weather
 from throngcast.plans.bridge import Bridge, bridge_summary
 from throngcast.schemas import CAPACITY_BASELINE, SCORED
 from throngcast.session import configure, scratch_path
-from throngcast.sources import lookup, paging, readers, writers
+from throngcast.sources import files, lookup, paging, readers, writers
 from throngcast.sources.columns import HeaderLookup
 from throngcast.streaming import jobs, late
 from throngcast.streaming.runner import ONCE_THROUGH, state_partitions, to_parquet
@@ -44,6 +44,7 @@ WEATHER_SCALE = 1 / 2000
 LOOKBACK_DAYS = 20
 STATION = "7"
 STATE_WIDTH = 8
+FILES_A_TRIGGER = 24
 SELECTED_ROUTES = ("R3", "R5")
 
 
@@ -901,11 +902,17 @@ def upsert_latest(spark, d):
 
 
 def _files_in_turn(spark, name, *parts: DataFrame) -> DataFrame:
-    """A stream over one file per frame, a trigger each, in the given order."""
+    """A stream over the given frames in order, a trigger each.
+
+    Triggers take files by age, so every frame is written as the same number of files: in parallel,
+    and filled up with empty ones where it has fewer rows.
+    """
     path = scratch_path(spark, name)
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
-    return readers.file_stream(spark, path, parts[0].schema, max_files_per_trigger=1)
+    for number, part in enumerate(parts, 1):
+        part.repartition(FILES_A_TRIGGER).write.mode("append").parquet(path)
+        while len(files.data_files(spark, path)) < number * FILES_A_TRIGGER:
+            part.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return readers.file_stream(spark, path, parts[0].schema, max_files_per_trigger=FILES_A_TRIGGER)
 
 
 @query

@@ -21,6 +21,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a folder that readers see."""
+    return [n for n in folder_names(spark, path) if not n.startswith(("_", "."))]
+
+
 def complete_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
     """Numbers N of the folders ``name=N`` whose write has succeeded, in order."""
     found = sorted(int(n.split("=", 1)[1]) for n in folder_names(spark, path) if n.startswith(f"{name}="))
