@@ -13,7 +13,7 @@ from throngcast.schemas import DELAY_SIGNAL, SCORED
 from throngcast.sources import documents, files, writers
 from throngcast.sources.keyed import KeyedTable
 from throngcast.sources.readers import file_stream
-from throngcast.streaming import jobs
+from throngcast.streaming import jobs, state
 from throngcast.streaming.runner import ONCE_THROUGH, for_each_batch, state_partitions
 
 
@@ -237,3 +237,19 @@ def test_snapshots_are_kept_for_running_readers(spark, rows, tmp_path):
         assert writers.publish_snapshot(rows("v int", (k,)), path, keep=2) == k
     assert writers.snapshot_ids(spark, path) == [3, 4]
     assert writers.read_snapshot(spark, path, rows("v int").schema).first().v == 4
+
+
+def test_stations_are_shared_by_slices(spark, tmp_path):
+    """Keyed state sees a row per slice of a station, however many rows the slice has."""
+    feed = Scored(spark, tmp_path)
+    values = [("a", ("SEVERE", "NORMAL")[k % 2], k / 60) for k in range(400)]
+    rows = [{"station_complex_id": s, "alert_level": v, "event_timestamp": at(m), "inserted_at": at(m), "congestion_score": m} for s, v, m in values]
+    rows += [{**rows[0], "station_complex_id": "end", "event_timestamp": at(90), "alert_level": "NORMAL"}]
+    partial(spark, SCORED, rows).write.parquet(feed.paths[0])
+    with state_partitions(spark, 2):
+        found = state.escalation_stream(file_stream(spark, feed.paths[0], SCORED))
+        query = jobs.to_parquet(found, feed.paths[1], feed.paths[2], trigger=ONCE_THROUGH)
+        query.awaitTermination()
+    assert feed.spark.read.parquet(feed.paths[1]).count() == 200
+    operators = [op for p in query.recentProgress for op in p["stateOperators"] if op["operatorName"].startswith("transformWithState")]
+    assert sum(op["numRowsUpdated"] for op in operators) < 10
