@@ -59,7 +59,11 @@ def service_day_epoch(service_date: Column, tz: str = LOCAL_TIMEZONE, noon_minus
     The default is local midnight. ``noon_minus_12h`` counts back from local noon,
     which differs by an hour on the two days a year the clock changes.
     """
-    midnight = F.try_to_timestamp(service_date, F.lit("yyyyMMdd"))
+    # a cast reads eight plain digits many times faster than a layout does; all else goes by the layout
+    dashed = F.concat_ws("-", *[F.substring(service_date, *cut) for cut in ((1, 4), (5, 2), (7, 2))])
+    plain = service_date.rlike("^[1-9][0-9]{7}$")
+    by_layout = F.try_to_timestamp(service_date, F.lit("yyyyMMdd"))
+    midnight = F.when(plain, dashed.try_cast("timestamp")).otherwise(by_layout)
     if noon_minus_12h:
         noon = F.to_utc_timestamp(midnight + F.expr("INTERVAL 12 HOURS"), tz)
         return F.unix_seconds(noon) - F.lit(12 * 3600)

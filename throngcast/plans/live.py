@@ -109,12 +109,13 @@ def trip_delays(
     the full trip id wins over the prefix, and a lookup left out answers nothing. Rows
     without stop or delay are left out.
     """
-    stops = parsed.where(F.col("stop_id").isNotNull()).withColumn("_prefix", trip_prefix(F.col("trip_id")))
+    # below the joins, where no filter copies the parsing
+    day = service_day_epoch(F.col("start_date"), service_tz, noon_minus_12h).alias("_day")
+    stops = parsed.where(F.col("stop_id").isNotNull()).select("*", day)
     stops = _scheduled(stops, full, "trip_id_suffix", "trip_id", "_by_trip")
+    stops = stops.withColumn("_prefix", trip_prefix(F.col("trip_id")))
     stops = _scheduled(stops, prefix, "prefix", "_prefix", "_by_prefix")
-    scheduled = service_day_epoch(F.col("start_date"), service_tz, noon_minus_12h) + F.coalesce(
-        "_by_trip", "_by_prefix"
-    )
+    scheduled = F.col("_day") + F.coalesce("_by_trip", "_by_prefix")
     native = F.col("arrival_delay_native")
     computed = (F.col("arrival_time_epoch") - F.col("scheduled_arrival_unix")).try_cast("int")
     moment = event_time(F.col("event_unix_ts"), F.col("kafka_ts"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from throngcast.functions.text import clock_to_seconds, realtime_trip_id, schedule_prefix
@@ -20,12 +20,23 @@ def schedule_full(stop_times: DataFrame) -> DataFrame:
 def schedule_by_prefix(full: DataFrame) -> DataFrame:
     """Median arrival second, cut to whole seconds, over the runs of a prefix.
 
-    The exact median keeps one counter per distinct second of the service day, so
-    its state stays small for any number of runs.
+    Runs are counted per second of the service day first, and the middle is found in the running
+    counts: exact for any number of runs, with no more rows than seconds to order per prefix and
+    stop. ``median`` would keep a map per prefix and stop, of which a schedule has very many.
     """
-    return full.groupBy(schedule_prefix(F.col("trip_id_suffix")).alias("prefix"), "stop_id").agg(
-        F.median("sched_arr_secs").cast("bigint").alias("sched_arr_secs")
+    keys, secs = ["prefix", "stop_id"], F.col("sched_arr_secs")
+    counted = full.groupBy(schedule_prefix(F.col("trip_id_suffix")).alias("prefix"), "stop_id", secs).agg(
+        F.count(secs).alias("_n")
     )
+    own = Window.partitionBy(*keys)
+    running = own.orderBy("sched_arr_secs").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(own)})
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_n")), secs))
+
+    lower, upper = at(F.floor((F.col("_all") - 1) / 2)), at(F.floor(F.col("_all") / 2))
+    return ranked.groupBy(*keys).agg(((lower + upper) / 2).cast("bigint").alias("sched_arr_secs"))
 
 
 def unique_schedule(full: DataFrame) -> DataFrame:
