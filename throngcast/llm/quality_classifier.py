@@ -8,9 +8,9 @@ log probabilities and back-off weights, from which each document's perplexity pe
 follows, and the share of words that the flagged model explains better by ``ODDS`` nats or more.
 
 A document is rejected where its perplexity, or its share of flagged words, lies above the
-quantile of trusted documents of its language. The models are fitted on at most ``bound``
-labelled documents each, chosen by a hash of the id among three quarters of them; the thresholds
-use all of the last quarter, which no model has seen.
+quantile of trusted documents of its language. The models are fitted on three quarters of all
+labelled documents, chosen by a hash of the id, or on ``bound`` of these where one is given; the
+thresholds use all of the last quarter, which no model has seen.
 
 Defined cases: a null text or one without words has perplexity 1 and is kept, as nothing speaks
 against it; a null language is a language of its own; languages with fewer than ``LEAST``
@@ -35,8 +35,6 @@ from throngcast.llm.common import (
 )
 
 ORDER = 5
-#: Labelled documents each model is fitted on, at most.
-BOUND = 4_000
 QUANTILE = 0.995
 #: One labelled document in so many is held out for the thresholds.
 HELD_OUT = 4
@@ -45,6 +43,8 @@ LEAST = 50
 ODDS = 12.0
 #: A share of flagged words up to this is never a reason to reject.
 LEAST_SHARE = 0.001
+#: Distinct words that a task counts before it hands on their n-grams.
+WORDS_COUNTED = 50_000
 #: Distinct words whose n-grams are laid out at once.
 WORDS_AT_ONCE = 40_000
 START, END = "\x02", "\x03"
@@ -57,20 +57,26 @@ _TOP = pa.schema([("model", pa.int32()), ("gram", pa.string()), ("c", pa.int64()
 def _top_counts(docs: DataFrame) -> DataFrame:
     """Counts of the n-grams of full order in ``model, text``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        for batch in batches:
-            for model, raw in zip(batch["model"].to_pylist(), batch["raw"]):
-                words.update((model, w) for w in (raw.as_py() or b"").split())
+    def grams_of(words: Counter) -> list[pa.RecordBatch]:
         grams: Counter = Counter()
         for (model, word), n in words.items():
             padded = START * (ORDER - 1) + word.decode() + END
             for k in range(ORDER, len(padded) + 1):
                 grams[model, padded[k - ORDER : k]] += n
-        yield from table_of(
+        return table_of(
             _TOP, model=[m for m, _ in grams], gram=[g for _, g in grams], c=list(grams.values())
         ).to_batches()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
+        for batch in batches:
+            for model, raw in zip(batch["model"].to_pylist(), batch["raw"]):
+                words.update((model, w) for w in (raw.as_py() or b"").split())
+                if len(words) > WORDS_COUNTED:
+                    yield from grams_of(words)
+                    words.clear()
+        yield from grams_of(words)
+
     return docs.mapInArrow(run, "model int, gram string, c long").groupBy("model", "gram").agg(F.sum("c").alias("c"))
 
 
@@ -303,15 +309,17 @@ def _held_out() -> Column:
     return crc_of_id(F.col("doc_id")) % HELD_OUT == 0
 
 
-def score(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, bound: int | None = None) -> DataFrame:
     """``SCORES`` of every document; ``labels`` holds ``doc_id, quality, toxic``."""
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    pick = lambda rows, m: hashed_sample(labels.where(rows).select("doc_id").distinct(), "doc_id", bound).withColumn("model", F.lit(m))
-    sample = pick(good & ~_held_out(), 0).union(pick(bad & ~_held_out(), 1))
-    rows = doc_frame(docs)
-    # the sample is bounded, so it may be broadcast
-    top = stored(_top_counts(rows.join(F.broadcast(sample), "doc_id").select("model", "raw")), "counts")
+
+    def pick(rows: Column, model: int) -> DataFrame:
+        ids = labels.where(rows).select("doc_id").distinct()
+        return (ids if bound is None else hashed_sample(ids, "doc_id", bound)).withColumn("model", F.lit(model))
+
+    fitted = pick(good & ~_held_out(), 0).union(pick(bad & ~_held_out(), 1))
+    top = stored(_top_counts(doc_frame(docs).join(fitted, "doc_id").select("model", "raw")), "counts")
     parts = shuffle_width(docs.sparkSession)
     model = stored(_sharded(kneser_ney(top), parts), "model")
     blocked = text_blocks(docs, parts, lang="lang")
@@ -320,7 +328,7 @@ def score(docs: DataFrame, labels: DataFrame, bound: int = BOUND) -> DataFrame:
     return blocked.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score, SCORES)
 
 
-def classify(docs: DataFrame, labels: DataFrame, bound: int = BOUND, quantile: float = QUANTILE) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, bound: int | None = None, quantile: float = QUANTILE) -> DataFrame:
     """``SCORES`` with ``kept``: false above the trusted quantile of the document's language."""
     scored = stored(score(docs, labels, bound), "scores")
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id").distinct()
